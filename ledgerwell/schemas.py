@@ -4,25 +4,43 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql.types import StructType
+from pyspark.sql import types as T
+
+_TYPES = {
+    "STRING": T.StringType(),
+    "BIGINT": T.LongType(),
+    "TINYINT": T.ByteType(),
+    "DOUBLE": T.DoubleType(),
+    "BOOLEAN": T.BooleanType(),
+    "DATE": T.DateType(),
+    "TIMESTAMP": T.TimestampType(),
+    "DECIMAL(18,2)": T.DecimalType(18, 2),
+    "ARRAY<STRING>": T.ArrayType(T.StringType()),
+}
+
+
+def _struct(columns: str) -> T.StructType:
+    """``"name TYPE, name TYPE"`` as a schema; unlike ``fromDDL`` it needs no running session."""
+    pairs = [column.split() for column in columns.split(", ")]
+    return T.StructType([T.StructField(name, _TYPES[sql_type]) for name, sql_type in pairs])
 
 # --- line-JSON inputs: everything dirty is read as text ---------------------------------------
 
-RAW_TRANSACTIONS = StructType.fromDDL(
+RAW_TRANSACTIONS = _struct(
     "transaction_id STRING, user_id STRING, user_uuid STRING, amount STRING, currency STRING, "
     "transaction_type STRING, promo_code_id STRING, status STRING, created_at STRING"
 )
-RAW_RATES = StructType.fromDDL(
+RAW_RATES = _struct(
     "update_id STRING, timestamp STRING, rate_tgrk_punk STRING, rate_tgrk_rub STRING"
 )
-RAW_CANCELLATIONS = StructType.fromDDL(
+RAW_CANCELLATIONS = _struct(
     "cancellation_id STRING, original_transaction_id STRING, reason STRING, "
     "cancelled_at STRING, refund_amount STRING"
 )
 RAW_DICTIONARIES = {
-    "users": StructType.fromDDL("user_id BIGINT, user_uuid STRING, is_test_user BOOLEAN"),
-    "test_users": StructType.fromDDL("test_user_uuid STRING"),
-    "promo_codes": StructType.fromDDL(
+    "users": _struct("user_id BIGINT, user_uuid STRING, is_test_user BOOLEAN"),
+    "test_users": _struct("test_user_uuid STRING"),
+    "promo_codes": _struct(
         "promo_code_id BIGINT, code STRING, max_uses BIGINT, expiry_date STRING"
     ),
 }
@@ -50,7 +68,7 @@ def _typed(names: list[str], sql_type: str) -> str:
     return ", ".join(f"{name} {sql_type}" for name in names)
 
 
-def _raw_copies(schema: StructType) -> str:
+def _raw_copies(schema: T.StructType) -> str:
     return _typed([f"{name}_raw" for name in schema.names], "STRING")
 
 
@@ -65,12 +83,12 @@ _ORIGIN = (
 class Table:
     """A stored table: its schema and the columns that name its partitions."""
 
-    schema: StructType
+    schema: T.StructType
     partitioned_by: tuple[str, ...] = ()
 
 
 def _table(ddl: str, *partitioned_by: str) -> Table:
-    return Table(StructType.fromDDL(ddl), partitioned_by)
+    return Table(_struct(ddl), partitioned_by)
 
 
 TABLES = {
