@@ -70,10 +70,10 @@ def sliced_intervals(intervals: DataFrame) -> DataFrame:
 
 
 def _edge_days(intervals: DataFrame) -> tuple[Column, Column]:
-    """The days just outside the rates, as scalar subqueries: nothing comes to the driver."""
-    first = intervals.agg(F.min(_day_of(F.unix_micros("rate_timestamp"))) - 1)
-    last = intervals.agg(F.max(_day_of(F.unix_micros("rate_timestamp"))) + 1)
-    return first.scalar(), last.scalar()
+    """The days just outside the rates, as a scalar subquery: nothing comes to the driver."""
+    day = _day_of(F.unix_micros("rate_timestamp"))
+    edges = intervals.agg(F.struct((F.min(day) - 1).alias("first"), (F.max(day) + 1).alias("last"))).scalar()
+    return edges.getField("first"), edges.getField("last")
 
 
 def attach_rates(df: DataFrame, intervals: DataFrame) -> DataFrame:

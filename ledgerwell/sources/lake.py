@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import date, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerwell.schemas import TABLES, Table
+from ledgerwell.schemas import TABLES
 
 
 def as_date(value: str | date) -> date:
@@ -53,9 +54,16 @@ class Lake:
         return published
 
     def read(self, name: str) -> DataFrame:
-        self.ensure(name)
-        table = TABLES[name]
-        return self.spark.read.schema(table.schema).parquet(self.path(name)).select(*table.schema.names)
+        """The stored table; one that was never written is created empty."""
+        reader = self.spark.read.schema(TABLES[name].schema)
+        try:
+            stored = reader.parquet(self.path(name))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            self.ensure(name)
+            stored = reader.parquet(self.path(name))
+        return stored.select(*TABLES[name].schema.names)
 
     def replace(self, name: str, df: DataFrame) -> int:
         """Replace the whole table by ``df``; returns the number of rows written."""
@@ -124,7 +132,7 @@ class Lake:
 
     def _conformed(self, name: str, df: DataFrame) -> DataFrame:
         """The declared columns in the declared order and types."""
-        table: Table = TABLES[name]
+        table = TABLES[name]
         return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema.fields])
 
     def _writer(self, name: str, df: DataFrame):

@@ -14,14 +14,18 @@ from ledgerwell.sources import jsonl
 from ledgerwell.sources.lake import Lake
 
 JOB_NAME = "stream_transactions"
+# Fixed value: the name of the one file in a slot's folder.
+SLOT_FILE = "transactions.jsonl"
 
 
-def transaction_stream(lake: Lake, raw_root: str, bucket: str = "raw", files_per_batch: int = 1000) -> DataFrame:
+def transaction_stream(
+    lake: Lake, raw_root: str, *, bucket: str = "raw", files_per_batch: int = 1000, file_glob: str = SLOT_FILE
+) -> DataFrame:
     """The raw rows of all slot files, with day and slot taken from the folders."""
     lines = (
         lake.spark.readStream.schema(RAW_TRANSACTIONS)
         .option("maxFilesPerTrigger", files_per_batch)
-        .option("pathGlobFilter", "transactions.jsonl")
+        .option("pathGlobFilter", file_glob)
         .option("recursiveFileLookup", "true")
         .json(f"{raw_root}/transactions")
     )
@@ -37,7 +41,13 @@ def transaction_stream(lake: Lake, raw_root: str, bucket: str = "raw", files_per
 
 
 def ingest_transactions(
-    lake: Lake, raw_root: str, checkpoint: str, *, bucket: str = "raw", files_per_batch: int = 1000
+    lake: Lake,
+    raw_root: str,
+    checkpoint: str,
+    *,
+    bucket: str = "raw",
+    files_per_batch: int = 1000,
+    file_glob: str = SLOT_FILE,
 ) -> StreamingQuery:
     """Load every slot file not seen before, then stop; run it again for what arrived meanwhile.
 
@@ -79,7 +89,7 @@ def ingest_transactions(
         files.unpersist()
 
     return (
-        transaction_stream(lake, raw_root, bucket, files_per_batch)
+        transaction_stream(lake, raw_root, bucket=bucket, files_per_batch=files_per_batch, file_glob=file_glob)
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
