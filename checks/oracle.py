@@ -349,9 +349,9 @@ _ITEM_MARKS = f"""
 """
 
 _SLOTS = """
-    SELECT CAST(at AS DATE) AS day, strftime(at, '%H-%M') AS slot
+    SELECT CAST(moment AS DATE) AS day, strftime(moment, '%H-%M') AS slot
     FROM (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31 23:50:00',
-        INTERVAL 10 MINUTE)) AS at)
+        INTERVAL 10 MINUTE)) AS moment)
 """
 
 ORACLE = {

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from checks import roles
 from ledgerwell.operators import asof, cancellations, cube, duplicates, facts, lookups, rates, silver
 from ledgerwell.operators.dictionaries import typed_dictionary
-from ledgerwell.operators.hotkeys import SPREAD, hot_keys
+from ledgerwell.operators.hotkeys import hot_keys, with_scatter
 from ledgerwell.plans import calendar, jobs
 from ledgerwell.plans.audit import AUDIT_TABLE, LoadEvent, audited, table_counts
 from ledgerwell.schemas import TABLES, TRANSACTION_FLAGS
@@ -76,10 +76,23 @@ def silver_cancellations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.withColumn("processed_at", F.lit(roles.LOADED_AT).cast("timestamp"))
 
 
+def stored_rates(spark: SparkSession, sf_dir: str) -> Lake:
+    """A lake with the silver rates, the way every layer reads the stored layer below it."""
+    lake = scratch_lake(spark)
+    lake.overwrite_partitions(jobs.RATES, silver_rates(spark, sf_dir))
+    return lake
+
+
+def stored_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lake = stored_rates(spark, sf_dir)
+    lake.replace(jobs.INTERVALS, rates.rate_intervals(lake.read(jobs.RATES), START, END))
+    return lake.read(jobs.INTERVALS)
+
+
 def base_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = silver_transactions(spark, sf_dir)
     fixed = cleaned.withColumn("processed_at", F.lit(roles.LOADED_AT).cast("timestamp"))
-    return facts.transactions_in_window(fixed, START, END)
+    return with_scatter(facts.transactions_in_window(fixed, START, END))
 
 
 def fact(spark: SparkSession, sf_dir: str, start: date = START, end: date = END) -> DataFrame:
@@ -89,7 +102,7 @@ def fact(spark: SparkSession, sf_dir: str, start: date = START, end: date = END)
         users=roles.users(spark, sf_dir),
         test_users=roles.test_users(spark, sf_dir),
         promo_codes=roles.promo_codes(spark, sf_dir),
-        intervals=rates.rate_intervals(silver_rates(spark, sf_dir)),
+        intervals=stored_intervals(spark, sf_dir),
         cancellations=silver_cancellations(spark, sf_dir),
         start=start,
         end=end,
@@ -127,7 +140,7 @@ def q04_error_array(spark, sf_dir):
 @query
 def q05_rate_intervals(spark, sf_dir):
     return shown(
-        rates.rate_intervals(silver_rates(spark, sf_dir)),
+        rates.rate_intervals(stored_rates(spark, sf_dir).read(jobs.RATES)),
         "rate_interval_id", "valid_from", "valid_to", "valid_from_date", "valid_to_date", "rate_update_id",
         "rate_timestamp", "rate_date", "rate_tgrk_punk", "rate_tgrk_rub", "is_rate_found", "is_rate_valid",
         "rate_selection_strategy",
@@ -136,12 +149,13 @@ def q05_rate_intervals(spark, sf_dir):
 
 @query
 def q06_asof_convert(spark, sf_dir):
-    priced = asof.attach_rates(
-        base_transactions(spark, sf_dir), rates.rate_intervals(silver_rates(spark, sf_dir))
-    ).withColumns({"cancellation_id": F.lit(None).cast("bigint"), "refund_amount": F.lit(None).cast("decimal(18,2)")})
-    columns = {**facts.rate_columns(), "amount_tgrk": facts.money_columns()["amount_tgrk"]}
-    kept = ("transaction_id", "created_at", "currency", "amount")
-    return shown(priced.select(*kept, *[c.alias(n) for n, c in columns.items()]))
+    priced = asof.attach_rates(base_transactions(spark, sf_dir), stored_intervals(spark, sf_dir))
+    return shown(
+        facts.with_base_amount(facts.with_rate_state(priced)),
+        "transaction_id", "created_at", "currency", "amount", "amount_tgrk", "rate_interval_id", "rate_timestamp",
+        "rate_date", "rate_tgrk_punk", "rate_tgrk_rub", "is_rate_found", "is_rate_valid", "rate_selection_strategy",
+        "rate_time_diff_minutes",
+    )
 
 
 @query
@@ -153,19 +167,25 @@ def q07_latest_cancellation(spark, sf_dir):
 def q08_user_segment(spark, sf_dir):
     known = lookups.attach_users(base_transactions(spark, sf_dir), roles.users(spark, sf_dir))
     known = lookups.attach_test_users(known, roles.test_users(spark, sf_dir))
-    return known.select("user_id", "user_uuid", *[c.alias(n) for n, c in facts.user_columns().items()])
+    return facts.with_user_state(known).select(
+        "user_id", "user_uuid", "is_user_found", "user_is_test_from_users", "user_is_test_from_test_users",
+        "is_test_user", "user_segment",
+    )
 
 
 @query
 def q09_promo_flags(spark, sf_dir):
     known = lookups.attach_promo_codes(base_transactions(spark, sf_dir), roles.promo_codes(spark, sf_dir))
-    columns = [c.alias(n) for n, c in facts.promo_columns().items()]
-    return shown(known.select("promo_code_id", "created_date", *columns))
+    return shown(
+        facts.with_promo_state(known),
+        "promo_code_id", "created_date", "promo_code", "promo_max_uses", "promo_expiry_date", "has_promo_code",
+        "is_promo_found", "is_promo_missing_in_dictionary", "is_promo_expired",
+    )
 
 
 def _line_items_as_transactions(spark: SparkSession, sf_dir: str, transaction_id: str) -> DataFrame:
     """Every line item as a transaction whose id many others share."""
-    return roles.table(spark, sf_dir, "lineitem").selectExpr(
+    items = roles.table(spark, sf_dir, "lineitem").selectExpr(
         f"{transaction_id} AS transaction_id",
         "l_partkey AS user_id",
         "l_linestatus AS user_uuid",
@@ -181,6 +201,7 @@ def _line_items_as_transactions(spark: SparkSession, sf_dir: str, transaction_id
         "'lineitem' AS source_file",
         "array(l_returnflag) AS transaction_validation_errors",
     )
+    return with_scatter(items)
 
 
 _MARKED = (
@@ -203,16 +224,22 @@ def q11_refund_net(spark, sf_dir):
     joined = cancellations.attach_cancellations(
         base, cancellations.latest_cancellations(silver_cancellations(spark, sf_dir))
     )
-    priced = asof.attach_rates(joined, rates.rate_intervals(silver_rates(spark, sf_dir)))
-    columns = {**facts.money_columns(), **facts.cancellation_columns()}
-    kept = ("transaction_id", "created_at", "cancellation_id", "cancelled_at", "refund_amount")
-    return shown(priced.select(*kept, *[c.alias(n) for n, c in columns.items()]))
+    priced = asof.attach_rates(joined, stored_intervals(spark, sf_dir))
+    return shown(
+        priced.transform(facts.with_rate_state)
+        .transform(facts.with_net_amount)
+        .transform(facts.with_cancellation_state),
+        "transaction_id", "created_at", "cancellation_id", "cancelled_at", "refund_amount", "amount_tgrk",
+        "gross_amount_tgrk", "refund_amount_tgrk", "net_amount_tgrk", "is_cancelled", "time_to_cancel_minutes",
+    )
 
 
 @query
 def q12_business_flags(spark, sf_dir):
-    flags = [c.alias(n) for n, c in facts.business_flags().items()]
-    return silver_transactions(spark, sf_dir).select("transaction_type", "status", *flags)
+    return facts.with_business_flags(silver_transactions(spark, sf_dir)).select(
+        "transaction_type", "status", "is_purchase_type", "is_completed_status", "is_completed_purchase",
+        "is_failed_status", "is_refund_type", "is_transfer_type",
+    )
 
 
 @query
@@ -449,7 +476,7 @@ def q29_refund_hot(spark, sf_dir):
 @query
 def q30_rates_per_day(spark, sf_dir):
     """How the interval list of the as-of join is cut: one row per day with its slices."""
-    listed = asof.sliced_intervals(rates.rate_intervals(silver_rates(spark, sf_dir)))
+    listed = asof.sliced_intervals(stored_intervals(spark, sf_dir))
     return listed.groupBy(F.col("r_day").alias("day")).agg(
         F.count_distinct("r_interval_id").alias("intervals"), F.max("r_slices").cast("bigint").alias("slices")
     )

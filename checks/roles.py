@@ -96,7 +96,10 @@ def _texts(columns: dict[str, str]) -> list[str]:
 
 
 def _loaded(df: DataFrame, source: str) -> DataFrame:
-    return df.withColumns(
+    """Lineage, and a running line number that is used but not kept: it stops the optimizer from
+    unfolding the long text expressions into every flag, which it cannot do with a file scan."""
+    numbered = df.withColumn("_line", F.monotonically_increasing_id()).where("_line >= 0").drop("_line")
+    return numbered.withColumns(
         {
             "source_file": F.lit(source),
             "raw_bucket": F.lit("raw"),

@@ -12,10 +12,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerwell.functions.money import BASE_CURRENCY
+from ledgerwell.operators.hotkeys import SCATTER
 
 DAY_MICROS = 86_400_000_000
 RATES_PER_SLICE = 4
-NULL_SPREAD = 4096
 
 _RATE_COLUMNS = {
     "rate_interval_id": "r_interval_id",
@@ -82,7 +82,7 @@ def attach_rates(df: DataFrame, intervals: DataFrame) -> DataFrame:
     Rows in the base currency, without a currency or without a time get no interval. No broadcast
     is forced: Spark broadcasts the interval list while it is below its size threshold and
     otherwise shuffles both sides by (day, slice), splitting a crowded slice (AQE skew join); rows
-    that cannot match are spread evenly.
+    that cannot match are spread by ``_scatter`` (see ``with_scatter``).
     """
     listed = sliced_intervals(intervals)
     first_day, last_day = _edge_days(intervals)
@@ -97,9 +97,9 @@ def attach_rates(df: DataFrame, intervals: DataFrame) -> DataFrame:
     )
     keyed = timed.join(crowded_days, "_day", "left").withColumn(
         "_slice",
-        F.when(
-            F.col("_at").isNull(), F.pmod(F.monotonically_increasing_id(), F.lit(NULL_SPREAD)).cast("int")
-        ).otherwise(F.when(F.col("_slices").isNull(), 0).otherwise(_slice_of(F.col("_at"), F.col("_slices")))),
+        F.when(F.col("_at").isNull(), F.col(SCATTER))
+        .when(F.col("_slices").isNull(), 0)
+        .otherwise(_slice_of(F.col("_at"), F.col("_slices"))),
     )
     covers = (F.col("created_at") >= F.col("r_from")) & (
         F.col("r_to").isNull() | (F.col("created_at") < F.col("r_to"))

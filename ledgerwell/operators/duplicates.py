@@ -8,7 +8,7 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerwell.operators.hotkeys import HOT_SPREAD, SPREAD, scatter, with_spread
+from ledgerwell.operators.hotkeys import HOT_SPREAD, SCATTER, SPREAD, with_spread
 from ledgerwell.session import shared_folder
 
 KEY = "transaction_id"
@@ -35,7 +35,7 @@ def _rank_order() -> list[Column]:
 def mark_duplicates(df: DataFrame, hot: Sequence[int] = ()) -> DataFrame:
     """Add ``duplicate_count``, ``duplicate_rank``, ``is_duplicate_transaction`` and ``_spread``.
 
-    Rows without an id get NULL marks and are spread over tasks. Ids listed in ``hot`` are ranked
+    ``df`` carries ``_scatter`` (see ``with_scatter``). Rows without an id get NULL marks and are spread over tasks. Ids listed in ``hot`` are ranked
     across many tasks (see ``_rank_hot``), all others within their own group.
     """
     spread = with_spread(df, KEY)
@@ -99,6 +99,6 @@ def _rank_hot(df: DataFrame, keys: int) -> DataFrame:
     position = F.row_number().over(Window.partitionBy(KEY, "_block").orderBy(*order))
     return (
         staged.join(F.broadcast(sizes), [KEY, "_block"])
-        .withColumns({"_rank": (F.col("_before") + position).cast("int"), SPREAD: scatter(HOT_SPREAD)})
+        .withColumns({"_rank": (F.col("_before") + position).cast("int"), SPREAD: F.col(SCATTER) % HOT_SPREAD})
         .select(*df.columns, "_rank", "_count")
     )

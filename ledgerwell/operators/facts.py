@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -22,7 +21,7 @@ from ledgerwell.functions.money import (
 from ledgerwell.operators.asof import attach_rates
 from ledgerwell.operators.cancellations import attach_cancellations, latest_cancellations
 from ledgerwell.operators.duplicates import mark_duplicates
-from ledgerwell.operators.hotkeys import HOT_ROWS, hot_keys
+from ledgerwell.operators.hotkeys import HOT_ROWS, hot_keys, with_scatter
 from ledgerwell.operators.lookups import attach_promo_codes, attach_test_users, attach_users
 from ledgerwell.schemas import TABLES, TRANSACTION_FLAGS
 from ledgerwell.sources.lake import in_days
@@ -50,96 +49,127 @@ def transactions_in_window(silver_transactions: DataFrame, start: str | date, en
     )
 
 
-def business_flags() -> dict[str, Column]:
-    kind, status = F.col("transaction_type"), F.col("status")
-    return {
-        "is_purchase_type": kind == "purchase",
-        "is_completed_status": status == "completed",
-        "is_completed_purchase": (kind == "purchase") & (status == "completed"),
-        "is_failed_status": status == "failed",
-        "is_refund_type": kind == "refund",
-        "is_transfer_type": kind == "transfer",
-    }
+# Each of these adds columns in steps: a later step names what an earlier one made instead of
+# repeating its expression, which also keeps the optimizer's constraint sets small.
 
 
-def user_columns() -> dict[str, Column]:
+def with_business_flags(df: DataFrame) -> DataFrame:
+    kind, status = F.col("transaction_type"), F.col("status")
+    return df.withColumns(
+        {
+            "is_purchase_type": kind == "purchase",
+            "is_completed_status": status == "completed",
+            "is_failed_status": status == "failed",
+            "is_refund_type": kind == "refund",
+            "is_transfer_type": kind == "transfer",
+        }
+    ).withColumn("is_completed_purchase", F.col("is_purchase_type") & F.col("is_completed_status"))
+
+
+def with_user_state(df: DataFrame) -> DataFrame:
     """A missing user id makes the row anonymous, even when its uuid is a test user's."""
-    by_dictionary = F.coalesce(F.col("u_is_test"), F.lit(False))
-    by_list = F.col("tu_uuid").isNotNull()
-    return {
-        "is_user_found": F.col("u_id").isNotNull(),
-        "user_is_test_from_users": by_dictionary,
-        "user_is_test_from_test_users": by_list,
-        "is_test_user": by_dictionary | by_list,
-        "user_segment": F.when(F.col("user_id").isNull(), "anonymous")
-        .when(by_dictionary | by_list, "test")
-        .otherwise("real"),
-    }
-
-
-def promo_columns() -> dict[str, Column]:
-    used, known = F.col("promo_code_id").isNotNull(), F.col("p_id").isNotNull()
-    last_day = F.col("p_expiry_date")
-    return {
-        "promo_code": F.col("p_code"),
-        "promo_max_uses": F.col("p_max_uses"),
-        "promo_expiry_date": last_day,
-        "has_promo_code": used,
-        "is_promo_found": ~used | known,
-        "is_promo_missing_in_dictionary": used & ~known,
-        "is_promo_expired": used & last_day.isNotNull() & (F.col("created_date") > last_day),
-    }
-
-
-def rate_columns() -> dict[str, Column]:
+    return (
+        df.withColumns(
+            {
+                "is_user_found": F.col("u_id").isNotNull(),
+                "user_is_test_from_users": F.coalesce(F.col("u_is_test"), F.lit(False)),
+                "user_is_test_from_test_users": F.col("tu_uuid").isNotNull(),
+            }
+        )
+        .withColumn("is_test_user", F.col("user_is_test_from_users") | F.col("user_is_test_from_test_users"))
+        .withColumn(
+            "user_segment",
+            F.when(F.col("user_id").isNull(), "anonymous").when(F.col("is_test_user"), "test").otherwise("real"),
+        )
+        .drop("u_id", "u_is_test", "tu_uuid")
+    )
+
+
+def with_promo_state(df: DataFrame) -> DataFrame:
+    used, last_day = F.col("has_promo_code"), F.col("promo_expiry_date")
+    named = df.withColumnsRenamed(
+        {"p_code": "promo_code", "p_max_uses": "promo_max_uses", "p_expiry_date": "promo_expiry_date"}
+    )
+    return (
+        named.withColumn("has_promo_code", F.col("promo_code_id").isNotNull())
+        .withColumns(
+            {
+                "is_promo_missing_in_dictionary": used & F.col("p_id").isNull(),
+                "is_promo_expired": used & last_day.isNotNull() & (F.col("created_date") > last_day),
+            }
+        )
+        .withColumn("is_promo_found", ~F.col("is_promo_missing_in_dictionary"))
+        .drop("p_id")
+    )
+
+
+def with_rate_state(df: DataFrame) -> DataFrame:
     base = F.col("currency") == BASE_CURRENCY
-    at, punk, rub = F.col("r_timestamp"), F.col("r_punk"), F.col("r_rub")
-    strategy = (
-        F.when(base, BASE_STRATEGY).when(at.isNotNull(), F.col("r_strategy")).otherwise(NO_RATE_STRATEGY)
+    at, punk, rub = F.col("rate_timestamp"), F.col("rate_tgrk_punk"), F.col("rate_tgrk_rub")
+    usable = at.isNotNull() & punk.isNotNull() & rub.isNotNull() & (punk > 0) & (rub > 0)
+    strategy = F.when(base, BASE_STRATEGY).when(at.isNotNull(), F.col("r_strategy")).otherwise(NO_RATE_STRATEGY)
+    return (
+        df.withColumnsRenamed(
+            {
+                "r_interval_id": "rate_interval_id",
+                "r_timestamp": "rate_timestamp",
+                "r_date": "rate_date",
+                "r_punk": "rate_tgrk_punk",
+                "r_rub": "rate_tgrk_rub",
+            }
+        )
+        .withColumns(
+            {
+                "rate_selection_strategy": strategy,
+                "is_rate_valid": F.when(base, True).otherwise(usable),
+                "rate_time_diff_minutes": minutes_between(at, F.col("created_at")),
+            }
+        )
+        .withColumn(
+            "is_rate_found",
+            F.col("rate_selection_strategy").isin(BASE_STRATEGY, ASOF_STRATEGY, BACKFILL_STRATEGY),
+        )
+        .drop("r_strategy")
     )
-    both_positive = at.isNotNull() & punk.isNotNull() & rub.isNotNull() & (punk > 0) & (rub > 0)
-    return {
-        "rate_interval_id": F.col("r_interval_id"),
-        "rate_timestamp": at,
-        "rate_date": F.col("r_date"),
-        "rate_tgrk_punk": punk,
-        "rate_tgrk_rub": rub,
-        "is_rate_found": strategy.isin(BASE_STRATEGY, ASOF_STRATEGY, BACKFILL_STRATEGY),
-        "is_rate_valid": F.when(base, True).otherwise(both_positive),
-        "rate_selection_strategy": strategy,
-        "rate_time_diff_minutes": minutes_between(at, F.col("created_at")),
-    }
-
-
-def money_columns() -> dict[str, Column]:
-    """Amounts in the base currency; net is gross minus the refund, which counts as 0 if unknown."""
-    currency, punk, rub = F.col("currency"), F.col("r_punk"), F.col("r_rub")
-    gross = in_base_currency(F.col("amount"), currency, punk, rub)
-    refund = F.when(F.col("cancellation_id").isNull(), zero_money()).otherwise(
-        in_base_currency(F.col("refund_amount"), currency, punk, rub)
+
+
+def with_base_amount(df: DataFrame) -> DataFrame:
+    return df.withColumn("amount_tgrk", _in_base(F.col("amount")))
+
+
+def with_net_amount(df: DataFrame) -> DataFrame:
+    """Net is gross minus the refund, which counts as 0 if it is unknown."""
+    refund = F.when(F.col("cancellation_id").isNull(), zero_money()).otherwise(_in_base(F.col("refund_amount")))
+    net = F.col("amount_tgrk") - F.coalesce(F.col("refund_amount_tgrk"), zero_money())
+    return (
+        with_base_amount(df)
+        .withColumn("refund_amount_tgrk", refund)
+        .withColumns({"gross_amount_tgrk": F.col("amount_tgrk"), "net_amount_tgrk": net.try_cast(MONEY)})
     )
-    return {
-        "amount_tgrk": gross,
-        "gross_amount_tgrk": gross,
-        "refund_amount_tgrk": refund,
-        "net_amount_tgrk": (gross - F.coalesce(refund, zero_money())).try_cast(MONEY),
-    }
 
 
-def cancellation_columns() -> dict[str, Column]:
-    return {
-        "is_cancelled": F.col("cancellation_id").isNotNull(),
-        "time_to_cancel_minutes": minutes_between(F.col("cancelled_at"), F.col("created_at")),
-    }
+def _in_base(amount: Column) -> Column:
+    return in_base_currency(amount, F.col("currency"), F.col("rate_tgrk_punk"), F.col("rate_tgrk_rub"))
 
 
-def stamp_columns(start: str | date, end: str | date) -> dict[str, Column]:
-    return {
-        "is_canonical_transaction": F.lit(True),
-        "gold_window_start": F.lit(start).cast("date"),
-        "gold_window_end": F.lit(end).cast("date"),
-        "gold_processed_at": F.current_timestamp(),
-    }
+def with_cancellation_state(df: DataFrame) -> DataFrame:
+    return df.withColumns(
+        {
+            "is_cancelled": F.col("cancellation_id").isNotNull(),
+            "time_to_cancel_minutes": minutes_between(F.col("cancelled_at"), F.col("created_at")),
+        }
+    )
+
+
+def with_stamps(df: DataFrame, start: str | date, end: str | date) -> DataFrame:
+    return df.withColumns(
+        {
+            "is_canonical_transaction": F.lit(True),
+            "gold_window_start": F.lit(start).cast("date"),
+            "gold_window_end": F.lit(end).cast("date"),
+            "gold_processed_at": F.current_timestamp(),
+        }
+    )
 
 
 def enriched_fact(
@@ -161,24 +191,19 @@ def enriched_fact(
     """
     base = transactions_in_window(transactions, start, end)
     hot = hot_keys(base, "transaction_id", hot_rows)
-    joined = mark_duplicates(base, hot)
+    joined = mark_duplicates(with_scatter(base), hot)
     joined = attach_cancellations(joined, latest_cancellations(cancellations), hot)
     joined = attach_users(joined, users)
     joined = attach_test_users(joined, test_users)
     joined = attach_promo_codes(joined, promo_codes)
     joined = attach_rates(joined, intervals)
-    return shaped(
-        joined,
-        business_flags(),
-        user_columns(),
-        promo_columns(),
-        rate_columns(),
-        money_columns(),
-        cancellation_columns(),
-        stamp_columns(start, end),
+    return (
+        joined.transform(with_business_flags)
+        .transform(with_user_state)
+        .transform(with_promo_state)
+        .transform(with_rate_state)
+        .transform(with_net_amount)
+        .transform(with_cancellation_state)
+        .transform(with_stamps, start, end)
+        .select(*FACT_COLUMNS)
     )
-
-
-def shaped(joined: DataFrame, *groups: Mapping[str, Column]) -> DataFrame:
-    derived = {name: column for group in groups for name, column in group.items()}
-    return joined.select(*[derived.get(name, F.col(name)).alias(name) for name in FACT_COLUMNS])

@@ -12,9 +12,12 @@ GROUPS = 64
 KEYS_PER_GROUP = 64
 TRACKED = 2048
 
-HOT_SPREAD = 256
-NULL_SPREAD = 4096
+# Columns that spread rows: a running number below SCATTER_WIDTH, and the second half of a join or
+# grouping key made from it.
+SCATTER = "_scatter"
 SPREAD = "_spread"
+SCATTER_WIDTH = 4096
+HOT_SPREAD = 256
 
 
 def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> list:
@@ -36,14 +39,17 @@ def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> list:
     return [row[0] for row in found.collect()]
 
 
-def scatter(width: int):
-    """A running number modulo ``width``: spreads rows evenly, even when they are all alike."""
-    return F.pmod(F.monotonically_increasing_id(), F.lit(width)).cast("int")
+def with_scatter(df: DataFrame) -> DataFrame:
+    """Add ``_scatter``: it tells rows apart even when they are all alike, as a hash would not.
+
+    It is made once, at the scan; made later it would keep filters from moving below it.
+    """
+    return df.withColumn(SCATTER, F.pmod(F.monotonically_increasing_id(), F.lit(SCATTER_WIDTH)).cast("int"))
 
 
 def with_spread(df: DataFrame, key: str) -> DataFrame:
-    """Add ``_spread``: 0 for real keys, a running number for NULL keys.
+    """Add ``_spread``: 0 for real keys, ``_scatter`` for NULL keys.
 
     Partitioning by (key, _spread) keeps each key together but not all the NULLs.
     """
-    return df.withColumn(SPREAD, F.when(F.col(key).isNull(), scatter(NULL_SPREAD)).otherwise(F.lit(0)))
+    return df.withColumn(SPREAD, F.when(F.col(key).isNull(), F.col(SCATTER)).otherwise(F.lit(0)))
