@@ -10,8 +10,6 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerwell.functions.text import is_absent
-
 
 @dataclass(frozen=True)
 class Rule:
@@ -22,9 +20,18 @@ class Rule:
     fatal: bool = True
 
 
-def unparsed(raw: str, typed: str) -> Column:
+def text_of(name: str) -> Column:
+    """The normalised text of an input column, NULL when it has no value (see ``text.real_text``)."""
+    return F.col(f"_text_{name}")
+
+
+def absent(name: str) -> Column:
+    return text_of(name).isNull()
+
+
+def unparsed(name: str, typed: str | None = None) -> Column:
     """A real text is there but its typed value is not."""
-    return ~is_absent(F.col(raw)) & F.col(typed).isNull()
+    return text_of(name).isNotNull() & F.col(typed or name).isNull()
 
 
 def known_and(column: str, test: Column) -> Column:

@@ -16,51 +16,38 @@ EPOCH_MIN = -62135596800
 EPOCH_MAX = 253402300799
 
 
-def folded(raw: Column) -> Column:
-    return F.lower(F.trim(raw))
+def real_text(raw: Column) -> Column:
+    """Trimmed lower-case text, or NULL when the raw text means "no value".
 
+    The other functions start from this text, so a record's columns are normalised once.
+    """
+    folded = F.lower(F.trim(raw))
+    return F.when(~folded.isin(*NULL_TOKENS), folded)
 
-def is_token(raw: Column) -> Column:
-    return folded(raw).isin(*NULL_TOKENS)
 
+def upper_text(raw: Column, text: Column) -> Column:
+    return F.when(text.isNotNull(), F.upper(F.trim(raw)))
 
-def is_absent(raw: Column) -> Column:
-    """True for NULL and for every null token; never NULL itself."""
-    return raw.isNull() | is_token(raw)
 
+def kept_case_text(raw: Column, text: Column) -> Column:
+    return F.when(text.isNotNull(), F.trim(raw))
 
-def present_or_null(raw: Column, value: Column) -> Column:
-    return F.when(~is_token(raw), value)
 
+def parse_long(text: Column) -> Column:
+    return text.try_cast("bigint")
 
-def lower_text(raw: Column) -> Column:
-    return present_or_null(raw, folded(raw))
 
+def parse_double(text: Column) -> Column:
+    return text.try_cast("double")
 
-def upper_text(raw: Column) -> Column:
-    return present_or_null(raw, F.upper(F.trim(raw)))
 
-
-def kept_case_text(raw: Column) -> Column:
-    return present_or_null(raw, F.trim(raw))
-
-
-def parse_long(raw: Column) -> Column:
-    return present_or_null(raw, folded(raw).try_cast("bigint"))
-
-
-def parse_double(raw: Column) -> Column:
-    return present_or_null(raw, folded(raw).try_cast("double"))
-
-
-def parse_money(raw: Column) -> Column:
+def parse_money(text: Column) -> Column:
     """Comma or point as the decimal mark, two digits, halves rounded away from zero."""
-    return present_or_null(raw, F.translate(folded(raw), ",", ".").try_cast("decimal(18,2)"))
+    return F.translate(text, ",", ".").try_cast("decimal(18,2)")
 
 
-def parse_epoch(raw: Column) -> Column:
+def epoch_to_timestamp(seconds: Column) -> Column:
     """Whole seconds since the epoch; values outside the calendar become NULL."""
-    seconds = parse_long(raw)
     return F.timestamp_seconds(F.when(seconds.between(EPOCH_MIN, EPOCH_MAX), seconds))
 
 

@@ -7,27 +7,30 @@ from pyspark.sql import functions as F
 
 from ledgerwell.functions import text
 from ledgerwell.functions.money import CURRENCIES
-from ledgerwell.functions.quality import Rule, apply_rules, known_and, unparsed
+from ledgerwell.functions.quality import Rule, absent, apply_rules, known_and, text_of, unparsed
 from ledgerwell.schemas import RAW_CANCELLATIONS, RAW_RATES, RAW_TRANSACTIONS
 
 # The transaction types that are supported.
 TRANSACTION_TYPES = ("purchase", "transfer", "refund")
 
 
-def _keep_raw(df: DataFrame, names: list[str]) -> DataFrame:
-    return df.withColumnsRenamed({name: f"{name}_raw" for name in names})
+def _with_texts(df: DataFrame, names: list[str]) -> DataFrame:
+    """Keep every input column as ``*_raw`` and add its normalised text."""
+    return df.withColumnsRenamed({name: f"{name}_raw" for name in names}).withColumns(
+        {f"_text_{name}": text.real_text(F.col(f"{name}_raw")) for name in names}
+    )
 
 
 def transaction_rules() -> list[Rule]:
     c = F.col
     return [
-        Rule("missing_transaction_id", text.is_absent(c("transaction_id_raw"))),
-        Rule("invalid_transaction_id", unparsed("transaction_id_raw", "transaction_id")),
-        Rule("missing_user_id", text.is_absent(c("user_id_raw")), fatal=False),
-        Rule("invalid_user_id", unparsed("user_id_raw", "user_id")),
+        Rule("missing_transaction_id", absent("transaction_id")),
+        Rule("invalid_transaction_id", unparsed("transaction_id")),
+        Rule("missing_user_id", absent("user_id"), fatal=False),
+        Rule("invalid_user_id", unparsed("user_id")),
         Rule("missing_user_uuid", c("user_uuid").isNull(), fatal=False),
-        Rule("missing_amount", text.is_absent(c("amount_raw"))),
-        Rule("invalid_amount", unparsed("amount_raw", "amount")),
+        Rule("missing_amount", absent("amount")),
+        Rule("invalid_amount", unparsed("amount")),
         Rule("negative_amount", known_and("amount", c("amount") < 0), fatal=False),
         Rule("zero_amount", known_and("amount", c("amount") == 0), fatal=False),
         Rule("missing_currency", c("currency").isNull()),
@@ -38,29 +41,30 @@ def transaction_rules() -> list[Rule]:
             known_and("transaction_type", ~c("transaction_type").isin(*TRANSACTION_TYPES)),
         ),
         Rule("missing_status", c("status").isNull()),
-        Rule("missing_created_at", text.is_absent(c("created_at_raw"))),
-        Rule("invalid_created_at", unparsed("created_at_raw", "created_at")),
-        Rule("invalid_promo_code_id", unparsed("promo_code_id_raw", "promo_code_id")),
+        Rule("missing_created_at", absent("created_at")),
+        Rule("invalid_created_at", unparsed("created_at")),
+        Rule("invalid_promo_code_id", unparsed("promo_code_id")),
     ]
 
 
 def clean_transactions(raw: DataFrame) -> DataFrame:
     c = F.col
     typed = (
-        _keep_raw(raw, RAW_TRANSACTIONS.names)
+        _with_texts(raw, RAW_TRANSACTIONS.names)
         .withColumns(
             {
-                "transaction_id": text.parse_long(c("transaction_id_raw")),
-                "user_id": text.parse_long(c("user_id_raw")),
-                "user_uuid": text.kept_case_text(c("user_uuid_raw")),
-                "amount": text.parse_money(c("amount_raw")),
-                "currency": text.upper_text(c("currency_raw")),
-                "transaction_type": text.lower_text(c("transaction_type_raw")),
-                "promo_code_id": text.parse_long(c("promo_code_id_raw")),
-                "status": text.lower_text(c("status_raw")),
-                "created_at": text.parse_epoch(c("created_at_raw")),
+                "transaction_id": text.parse_long(text_of("transaction_id")),
+                "user_id": text.parse_long(text_of("user_id")),
+                "user_uuid": text.kept_case_text(c("user_uuid_raw"), text_of("user_uuid")),
+                "amount": text.parse_money(text_of("amount")),
+                "currency": text.upper_text(c("currency_raw"), text_of("currency")),
+                "transaction_type": text_of("transaction_type"),
+                "promo_code_id": text.parse_long(text_of("promo_code_id")),
+                "status": text_of("status"),
+                "_seconds": text.parse_long(text_of("created_at")),
             }
         )
+        .withColumn("created_at", text.epoch_to_timestamp(c("_seconds")))
         .withColumn("created_date", F.to_date("created_at"))
     )
     return _stamped(apply_rules(typed, transaction_rules()))
@@ -70,11 +74,11 @@ def rate_rules() -> list[Rule]:
     c = F.col
     pairs = ("rate_tgrk_punk", "rate_tgrk_rub")
     return [
-        Rule("missing_update_id", text.is_absent(c("update_id_raw"))),
-        Rule("missing_timestamp", text.is_absent(c("timestamp_raw"))),
-        Rule("invalid_update_id", unparsed("update_id_raw", "update_id")),
-        Rule("invalid_timestamp", unparsed("timestamp_raw", "rate_timestamp")),
-        *[Rule(f"invalid_{rate}", unparsed(f"{rate}_raw", rate)) for rate in pairs],
+        Rule("missing_update_id", absent("update_id")),
+        Rule("missing_timestamp", absent("timestamp")),
+        Rule("invalid_update_id", unparsed("update_id")),
+        Rule("invalid_timestamp", unparsed("timestamp", "rate_timestamp")),
+        *[Rule(f"invalid_{rate}", unparsed(rate)) for rate in pairs],
         *[Rule(f"missing_{rate}", c(rate).isNull()) for rate in pairs],
         *[Rule(f"non_positive_{rate}", known_and(rate, c(rate) <= 0)) for rate in pairs],
     ]
@@ -83,15 +87,16 @@ def rate_rules() -> list[Rule]:
 def clean_rates(raw: DataFrame) -> DataFrame:
     c = F.col
     typed = (
-        _keep_raw(raw, RAW_RATES.names)
+        _with_texts(raw, RAW_RATES.names)
         .withColumns(
             {
-                "update_id": text.parse_long(c("update_id_raw")),
-                "rate_timestamp": text.parse_epoch(c("timestamp_raw")),
-                "rate_tgrk_punk": text.parse_double(c("rate_tgrk_punk_raw")),
-                "rate_tgrk_rub": text.parse_double(c("rate_tgrk_rub_raw")),
+                "update_id": text.parse_long(text_of("update_id")),
+                "_seconds": text.parse_long(text_of("timestamp")),
+                "rate_tgrk_punk": text.parse_double(text_of("rate_tgrk_punk")),
+                "rate_tgrk_rub": text.parse_double(text_of("rate_tgrk_rub")),
             }
         )
+        .withColumn("rate_timestamp", text.epoch_to_timestamp(c("_seconds")))
         .withColumn("rate_date", F.to_date("rate_timestamp"))
     )
     return _stamped(apply_rules(typed, rate_rules()))
@@ -100,17 +105,17 @@ def clean_rates(raw: DataFrame) -> DataFrame:
 def cancellation_rules() -> list[Rule]:
     c = F.col
     return [
-        Rule("invalid_cancellation_id", unparsed("cancellation_id_raw", "cancellation_id")),
+        Rule("invalid_cancellation_id", unparsed("cancellation_id")),
         Rule(
             "invalid_original_transaction_id",
-            unparsed("original_transaction_id_raw", "original_transaction_id"),
+            unparsed("original_transaction_id"),
         ),
         # Only an empty text counts as "no date" here: "none" is an invalid date.
         Rule(
             "invalid_cancelled_at",
             known_and("cancelled_at_raw", F.trim(c("cancelled_at_raw")) != "") & c("cancelled_at").isNull(),
         ),
-        Rule("invalid_refund_amount", unparsed("refund_amount_raw", "refund_amount")),
+        Rule("invalid_refund_amount", unparsed("refund_amount")),
         Rule("negative_refund_amount", known_and("refund_amount", c("refund_amount") < 0), fatal=False),
         Rule("missing_reason", c("reason").isNull()),
     ]
@@ -119,14 +124,14 @@ def cancellation_rules() -> list[Rule]:
 def clean_cancellations(raw: DataFrame) -> DataFrame:
     c = F.col
     typed = (
-        _keep_raw(raw, RAW_CANCELLATIONS.names)
+        _with_texts(raw, RAW_CANCELLATIONS.names)
         .withColumns(
             {
-                "cancellation_id": text.parse_long(c("cancellation_id_raw")),
-                "original_transaction_id": text.parse_long(c("original_transaction_id_raw")),
-                "reason": text.lower_text(c("reason_raw")),
+                "cancellation_id": text.parse_long(text_of("cancellation_id")),
+                "original_transaction_id": text.parse_long(text_of("original_transaction_id")),
+                "reason": text_of("reason"),
                 "cancelled_at": text.parse_cancelled_at(c("cancelled_at_raw")),
-                "refund_amount": text.parse_money(c("refund_amount_raw")),
+                "refund_amount": text.parse_money(text_of("refund_amount")),
             }
         )
         .withColumn("cancelled_date", F.to_date("cancelled_at"))
@@ -135,4 +140,5 @@ def clean_cancellations(raw: DataFrame) -> DataFrame:
 
 
 def _stamped(df: DataFrame) -> DataFrame:
-    return df.withColumn("processed_at", F.current_timestamp())
+    helpers = [name for name in df.columns if name.startswith("_")]
+    return df.drop(*helpers).withColumn("processed_at", F.current_timestamp())

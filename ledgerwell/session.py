@@ -14,6 +14,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # The JVM does not compile methods above this size; wide projections must be generated in parts.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # The flags of a record are dozens of predicates over the same few columns; inferring more
     # predicates from them takes the optimizer minutes and finds none: NULL keys are filtered here
     # by hand, and filters are pushed down without it.
