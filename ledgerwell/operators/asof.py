@@ -12,10 +12,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerwell.functions.money import BASE_CURRENCY
-from ledgerwell.operators.hotkeys import SCATTER
+from ledgerwell.operators.joins import lookup_join
 
 DAY_MICROS = 86_400_000_000
 RATES_PER_SLICE = 4
+# More than the slices of a day with one rate every second.
+MAX_SLICES = 1 << 20
 
 _RATE_COLUMNS = {
     "rate_interval_id": "r_interval_id",
@@ -76,18 +78,37 @@ def _edge_days(intervals: DataFrame) -> tuple[Column, Column]:
     return edges.getField("first"), edges.getField("last")
 
 
-def attach_rates(df: DataFrame, intervals: DataFrame) -> DataFrame:
+def attach_rates(
+    df: DataFrame, intervals: DataFrame, *, keys_from: DataFrame | None = None, **sizes
+) -> DataFrame:
     """Left-join the covering interval as ``r_*`` columns; at most one per row.
 
-    Rows in the base currency, without a currency or without a time get no interval. No broadcast
-    is forced: Spark broadcasts the interval list while it is below its size threshold and
-    otherwise shuffles both sides by (day, slice), splitting a crowded slice (AQE skew join); rows
-    that cannot match are spread by ``_scatter`` (see ``with_scatter``).
+    Rows in the base currency, without a currency or without a time get no interval. The interval
+    list is broadcast while it is small; beyond that see ``joins.lookup_join``, which also explains
+    ``keys_from``.
     """
-    listed = sliced_intervals(intervals)
+    listed = sliced_intervals(intervals).withColumn("r_key", _key(F.col("r_day"), F.col("r_slice")))
+    keyed = _with_key(df, intervals, listed)
+    covers = (F.col("created_at") >= F.col("r_from")) & (
+        F.col("r_to").isNull() | (F.col("created_at") < F.col("r_to"))
+    )
+    return lookup_join(
+        keyed,
+        listed.drop("r_day", "r_slice", "r_slices"),
+        "_key",
+        "r_key",
+        condition=covers,
+        keys_from=None if keys_from is None else _with_key(keys_from, intervals, listed),
+        **sizes,
+    ).drop("_key", "r_key", "r_from", "r_to")
+
+
+def _with_key(df: DataFrame, intervals: DataFrame, listed: DataFrame) -> DataFrame:
+    """Add ``_key``, the (day, slice) a row is looked up under; NULL when it cannot match."""
     first_day, last_day = _edge_days(intervals)
     at = F.unix_micros(F.when(F.col("currency") != BASE_CURRENCY, F.col("created_at")))
-    crowded_days = (
+    # At most one row per calendar day.
+    crowded_days = F.broadcast(
         listed.where(F.col("r_slices") > 1)
         .select(F.col("r_day").alias("_day"), F.col("r_slices").alias("_slices"))
         .distinct()
@@ -95,17 +116,13 @@ def attach_rates(df: DataFrame, intervals: DataFrame) -> DataFrame:
     timed = df.withColumn("_at", at).withColumn(
         "_day", F.when(F.col("_at").isNotNull(), F.least(F.greatest(_day_of(F.col("_at")), first_day), last_day))
     )
-    keyed = timed.join(crowded_days, "_day", "left").withColumn(
-        "_slice",
-        F.when(F.col("_at").isNull(), F.col(SCATTER))
-        .when(F.col("_slices").isNull(), 0)
-        .otherwise(_slice_of(F.col("_at"), F.col("_slices"))),
-    )
-    covers = (F.col("created_at") >= F.col("r_from")) & (
-        F.col("r_to").isNull() | (F.col("created_at") < F.col("r_to"))
+    slices = F.coalesce(F.col("_slices"), F.lit(1))
+    return (
+        timed.join(crowded_days, "_day", "left")
+        .withColumn("_key", _key(F.col("_day"), _slice_of(F.col("_at"), slices)))
+        .drop("_at", "_day", "_slices")
     )
-    return keyed.join(
-        listed.drop("r_slices"),
-        (F.col("_day") == F.col("r_day")) & (F.col("_slice") == F.col("r_slice")) & covers,
-        "left",
-    ).drop("_at", "_day", "_slices", "_slice", "r_day", "r_slice", "r_from", "r_to")
+
+
+def _key(day: Column, slice_number: Column) -> Column:
+    return day.cast("bigint") * MAX_SLICES + slice_number

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwell.operators.dictionaries import one_row_per_key
-from ledgerwell.operators.hotkeys import HOT_SPREAD, SPREAD
+from ledgerwell.operators.joins import spread_join
 
 
 def latest_cancellations(silver_cancellations: DataFrame) -> DataFrame:
@@ -33,19 +33,7 @@ def latest_cancellations(silver_cancellations: DataFrame) -> DataFrame:
 def attach_cancellations(df: DataFrame, latest: DataFrame, hot: Sequence[int] = ()) -> DataFrame:
     """Left-join ``latest`` by transaction id; ``df`` carries ``_spread`` (see ``mark_duplicates``).
 
-    The join keys are (id, _spread), the partitioning the duplicate marks already made. A
-    cancellation of a hot id is repeated for each of its spread values.
+    The join keys are (id, _spread), the partitioning the duplicate marks already made.
     """
-    original_id = F.col("original_transaction_id")
-    # Always 0, but not a constant the optimizer would take out of the join keys.
-    places = F.array(F.pmod(original_id, F.lit(1)).cast("int"))
-    if hot:
-        all_places = F.sequence(F.lit(0), F.lit(HOT_SPREAD - 1))
-        places = F.when(original_id.isin(*hot), all_places).otherwise(places)
-        placed = latest.withColumn("_place", F.explode(places))
-    else:
-        placed = latest.withColumn("_place", places[0])
-    joined = df.join(
-        placed, (F.col("transaction_id") == original_id) & (F.col(SPREAD) == F.col("_place")), "left"
-    )
-    return joined.drop("original_transaction_id", "_place", SPREAD)
+    joined = spread_join(df, latest, "transaction_id", "original_transaction_id", hot)
+    return joined.drop("original_transaction_id")

@@ -22,6 +22,7 @@ from ledgerwell.operators.asof import attach_rates
 from ledgerwell.operators.cancellations import attach_cancellations, latest_cancellations
 from ledgerwell.operators.duplicates import mark_duplicates
 from ledgerwell.operators.hotkeys import HOT_ROWS, hot_keys, with_scatter
+from ledgerwell.operators.joins import BROADCAST_ROWS
 from ledgerwell.operators.lookups import attach_promo_codes, attach_test_users, attach_users
 from ledgerwell.schemas import TABLES, TRANSACTION_FLAGS
 from ledgerwell.sources.lake import in_days
@@ -183,20 +184,24 @@ def enriched_fact(
     start: str | date,
     end: str | date,
     hot_rows: int = HOT_ROWS,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Silver transactions of the window with all lookups, amounts and marks.
 
-    The only shuffle of the wide rows is by transaction id; it serves the duplicate marks and the
-    cancellation join. ``hot_rows`` is the size from which an id is ranked across tasks.
+    While the dictionaries and intervals are small, the only shuffle of the wide rows is by
+    transaction id; it serves the duplicate marks and the cancellation join. ``hot_rows`` is the
+    size from which a key is spread over tasks, ``broadcast_rows`` the size up to which a lookup
+    is broadcast.
     """
     base = transactions_in_window(transactions, start, end)
     hot = hot_keys(base, "transaction_id", hot_rows)
     joined = mark_duplicates(with_scatter(base), hot)
     joined = attach_cancellations(joined, latest_cancellations(cancellations), hot)
-    joined = attach_users(joined, users)
-    joined = attach_test_users(joined, test_users)
-    joined = attach_promo_codes(joined, promo_codes)
-    joined = attach_rates(joined, intervals)
+    sizes = {"keys_from": base, "broadcast_rows": broadcast_rows, "hot_rows": hot_rows}
+    joined = attach_users(joined, users, **sizes)
+    joined = attach_test_users(joined, test_users, **sizes)
+    joined = attach_promo_codes(joined, promo_codes, **sizes)
+    joined = attach_rates(joined, intervals, **sizes)
     return (
         joined.transform(with_business_flags)
         .transform(with_user_state)

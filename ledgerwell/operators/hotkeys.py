@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,9 +49,12 @@ def with_scatter(df: DataFrame) -> DataFrame:
     return df.withColumn(SCATTER, F.pmod(F.monotonically_increasing_id(), F.lit(SCATTER_WIDTH)).cast("int"))
 
 
-def with_spread(df: DataFrame, key: str) -> DataFrame:
-    """Add ``_spread``: 0 for real keys, ``_scatter`` for NULL keys.
+def with_spread(df: DataFrame, key: str, hot: Sequence = ()) -> DataFrame:
+    """Add ``_spread``: 0 for ordinary keys, part of ``_scatter`` for hot keys, all of it for NULLs.
 
-    Partitioning by (key, _spread) keeps each key together but not all the NULLs.
+    Partitioning by (key, _spread) keeps an ordinary key together but neither the NULLs nor a hot key.
     """
-    return df.withColumn(SPREAD, F.when(F.col(key).isNull(), F.col(SCATTER)).otherwise(F.lit(0)))
+    spread = F.when(F.col(key).isNull(), F.col(SCATTER))
+    if hot:
+        spread = spread.when(F.col(key).isin(*hot), F.col(SCATTER) % HOT_SPREAD)
+    return df.withColumn(SPREAD, spread.otherwise(F.lit(0)))

@@ -1,9 +1,5 @@
-"""Users, test users and promo codes of a transaction.
-
-All are left joins to one row per key, so rows never multiply. No broadcast is forced: Spark
-broadcasts a dictionary while its measured size is below the threshold; beyond it both sides are
-shuffled and a crowded key is split at run time (AQE skew join).
-"""
+"""Users, test users and promo codes of a transaction: left joins to one row per key, so rows never
+multiply. ``keys_from`` and crowded keys: see ``joins.lookup_join``."""
 
 from __future__ import annotations
 
@@ -11,20 +7,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwell.operators.dictionaries import one_row_per_key
+from ledgerwell.operators.joins import lookup_join
 
 
-def attach_users(df: DataFrame, users: DataFrame) -> DataFrame:
+def attach_users(df: DataFrame, users: DataFrame, **sizes) -> DataFrame:
     newest = one_row_per_key(users.select("user_id", "is_test_user", "loaded_at"), "user_id", "loaded_at")
     known = newest.select(F.col("user_id").alias("u_id"), F.col("is_test_user").alias("u_is_test"))
-    return df.join(known, F.col("user_id") == F.col("u_id"), "left")
+    return lookup_join(df, known, "user_id", "u_id", **sizes)
 
 
-def attach_test_users(df: DataFrame, test_users: DataFrame) -> DataFrame:
+def attach_test_users(df: DataFrame, test_users: DataFrame, **sizes) -> DataFrame:
     listed = test_users.select(F.col("test_user_uuid").alias("tu_uuid")).distinct()
-    return df.join(listed, F.col("user_uuid") == F.col("tu_uuid"), "left")
+    return lookup_join(df, listed, "user_uuid", "tu_uuid", **sizes)
 
 
-def attach_promo_codes(df: DataFrame, promo_codes: DataFrame) -> DataFrame:
+def attach_promo_codes(df: DataFrame, promo_codes: DataFrame, **sizes) -> DataFrame:
     newest = one_row_per_key(
         promo_codes.select("promo_code_id", "code", "max_uses", "expiry_date", "loaded_at"),
         "promo_code_id",
@@ -36,4 +33,4 @@ def attach_promo_codes(df: DataFrame, promo_codes: DataFrame) -> DataFrame:
         F.col("max_uses").alias("p_max_uses"),
         F.col("expiry_date").alias("p_expiry_date"),
     )
-    return df.join(known, F.col("promo_code_id") == F.col("p_id"), "left")
+    return lookup_join(df, known, "promo_code_id", "p_id", **sizes)

@@ -67,7 +67,7 @@ class Lake:
 
     def replace(self, name: str, df: DataFrame) -> int:
         """Replace the whole table by ``df``; returns the number of rows written."""
-        counted, seen = self._counted(self._conformed(name, df))
+        counted, seen = self._counted(self._clustered(name, self._conformed(name, df)))
         self._writer(name, counted).option("partitionOverwriteMode", "static").mode("overwrite").parquet(
             self.path(name)
         )
@@ -83,7 +83,10 @@ class Lake:
         self._writer(name, self._conformed(name, df)).mode("append").parquet(self.path(name))
 
     def overwrite_partitions(self, name: str, df: DataFrame) -> int:
-        """Replace exactly the partitions that occur in ``df``; an empty ``df`` replaces nothing."""
+        """Replace exactly the partitions that occur in ``df``; an empty ``df`` replaces nothing.
+
+        The rows are written where they are: right for input files that each fill one partition.
+        """
         counted, seen = self._counted(self._conformed(name, df))
         self._overwrite_present(name, counted)
         return seen.get["rows"]
@@ -109,7 +112,7 @@ class Lake:
         }
         offset = F.date_diff(F.col(day_column), F.lit(start))
         seen = Observation()
-        counted = window.observe(
+        counted = self._clustered(name, window).observe(
             seen,
             F.count(F.lit(1)).alias("rows"),
             F.bitmap_construct_agg(F.bitmap_bit_position(offset + 1)).alias("days"),
@@ -135,6 +138,14 @@ class Lake:
         table = TABLES[name]
         return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema.fields])
 
+    def _clustered(self, name: str, df: DataFrame) -> DataFrame:
+        """Bring the rows of a partition together, so that not every task writes to every one.
+
+        Spark sizes the tasks by the data at run time: a large partition is split, small ones share.
+        """
+        partitions = TABLES[name].partitioned_by
+        return df.hint("rebalance", *[F.col(key) for key in partitions]) if partitions else df
+
     def _writer(self, name: str, df: DataFrame):
         partitions = TABLES[name].partitioned_by
         return df.write.partitionBy(*partitions) if partitions else df.write

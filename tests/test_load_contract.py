@@ -172,6 +172,13 @@ def test_reading_a_window_prunes_partitions(lake, tmp_path):
         assert unwanted not in plan
 
 
+def test_a_day_is_not_written_by_every_task(lake, spark):
+    rows = [(f"2026-04-{20 + i % 3}", 1777248000, i, 1.0) for i in range(600)]
+    lake.replace(jobs.FACT, fact_of(spark, rows).repartition(8))
+    files = spark.read.parquet(lake.path(jobs.FACT)).select("_metadata.file_path").distinct().count()
+    assert files == 3
+
+
 def test_object_store_settings():
     settings = object_store_settings("http://store:9000", "key", "secret")
     assert settings["spark.hadoop.fs.s3a.endpoint"] == "http://store:9000"
