@@ -477,7 +477,7 @@ def q29_refund_hot(spark, sf_dir):
 def q30_rates_per_day(spark, sf_dir):
     """How the interval list of the as-of join is cut: one row per day with its slices."""
     listed = asof.sliced_intervals(stored_intervals(spark, sf_dir))
-    return listed.groupBy(F.col("r_day").alias("day")).agg(
+    return listed.groupBy(F.col("r_day").cast("bigint").alias("day")).agg(
         F.count_distinct("r_interval_id").alias("intervals"), F.max("r_slices").cast("bigint").alias("slices")
     )
 

@@ -18,8 +18,10 @@ from ledgerwell.operators.hotkeys import HOT_ROWS, HOT_SPREAD, SPREAD, hot_keys,
 BROADCAST_ROWS = 1_000_000
 
 
-def is_small(df: DataFrame, rows: int) -> bool:
-    return df.limit(rows + 1).count() <= rows
+def is_small(lookup: DataFrame, rows: int, unreduced: DataFrame | None = None) -> bool:
+    """At most ``rows`` rows. ``unreduced`` is what ``lookup`` was reduced from; counting it is enough
+    when it is small itself, and often needs the file footers only."""
+    return (unreduced is not None and unreduced.count() <= rows) or lookup.count() <= rows
 
 
 def lookup_join(
@@ -29,6 +31,7 @@ def lookup_join(
     lookup_key: str,
     *,
     condition: Column | None = None,
+    unreduced: DataFrame | None = None,
     keys_from: DataFrame | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_ROWS,
@@ -37,7 +40,7 @@ def lookup_join(
 
     ``keys_from`` is a cheaper frame with the same keys as ``df``, used to find the crowded ones.
     """
-    if is_small(lookup, broadcast_rows):
+    if is_small(lookup, broadcast_rows, unreduced):
         return df.join(F.broadcast(lookup), _matches(key, lookup_key, condition), "left")
     hot = hot_keys(df if keys_from is None else keys_from, key, hot_rows)
     return spread_join(with_spread(df, key, hot), lookup, key, lookup_key, hot, condition)

@@ -13,12 +13,12 @@ from ledgerwell.operators.joins import lookup_join
 def attach_users(df: DataFrame, users: DataFrame, **sizes) -> DataFrame:
     newest = one_row_per_key(users.select("user_id", "is_test_user", "loaded_at"), "user_id", "loaded_at")
     known = newest.select(F.col("user_id").alias("u_id"), F.col("is_test_user").alias("u_is_test"))
-    return lookup_join(df, known, "user_id", "u_id", **sizes)
+    return lookup_join(df, known, "user_id", "u_id", unreduced=users, **sizes)
 
 
 def attach_test_users(df: DataFrame, test_users: DataFrame, **sizes) -> DataFrame:
     listed = test_users.select(F.col("test_user_uuid").alias("tu_uuid")).distinct()
-    return lookup_join(df, listed, "user_uuid", "tu_uuid", **sizes)
+    return lookup_join(df, listed, "user_uuid", "tu_uuid", unreduced=test_users, **sizes)
 
 
 def attach_promo_codes(df: DataFrame, promo_codes: DataFrame, **sizes) -> DataFrame:
@@ -33,4 +33,4 @@ def attach_promo_codes(df: DataFrame, promo_codes: DataFrame, **sizes) -> DataFr
         F.col("max_uses").alias("p_max_uses"),
         F.col("expiry_date").alias("p_expiry_date"),
     )
-    return lookup_join(df, known, "promo_code_id", "p_id", **sizes)
+    return lookup_join(df, known, "promo_code_id", "p_id", unreduced=promo_codes, **sizes)

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from ledgerwell.operators.cube import hourly_cube
 from ledgerwell.operators.dictionaries import typed_dictionary
 from ledgerwell.operators.facts import enriched_fact
-from ledgerwell.operators.hotkeys import HOT_ROWS
 from ledgerwell.operators.rates import rate_intervals
 from ledgerwell.operators.silver import clean_cancellations, clean_rates, clean_transactions
 from ledgerwell.plans.audit import LoadEvent, audited, new_run_id
@@ -179,8 +178,8 @@ def build_rate_intervals(lake: Lake, start: str | date, end: str | date, *, run_
     return event.rows_written
 
 
-def fact_of(lake: Lake, start: str | date, end: str | date, *, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The enriched fact of a window, from the stored tables."""
+def fact_of(lake: Lake, start: str | date, end: str | date, **sizes: int) -> DataFrame:
+    """The enriched fact of a window, from the stored tables; ``sizes`` as in ``enriched_fact``."""
     return enriched_fact(
         lake.read(TRANSACTIONS),
         users=lake.read("dictionaries/users"),
@@ -190,19 +189,17 @@ def fact_of(lake: Lake, start: str | date, end: str | date, *, hot_rows: int = H
         cancellations=lake.read(CANCELLATIONS),
         start=start,
         end=end,
-        hot_rows=hot_rows,
+        **sizes,
     )
 
 
-def build_fact(
-    lake: Lake, start: str | date, end: str | date, *, run_id: str | None = None, hot_rows: int = HOT_ROWS
-) -> int:
+def build_fact(lake: Lake, start: str | date, end: str | date, *, run_id: str | None = None, **sizes: int) -> int:
     """Rebuild the fact for files of ``start..end``; every lookup keeps the row count."""
     event = _window_event(
         "build_fact", "gold_transactions_enriched", FACT, "gold_window", start, end, run_id
     )
     with audited(lake, event):
-        rows = lake.overwrite_days(FACT, fact_of(lake, start, end, hot_rows=hot_rows), start, end)
+        rows = lake.overwrite_days(FACT, fact_of(lake, start, end, **sizes), start, end)
         event.rows_read = event.rows_written = rows
     return rows
 

@@ -196,3 +196,12 @@ def test_published_tables_answer_sql(built):
     lake.publish(jobs.FACT, "gold")
     n = lake.spark.sql(f"SELECT count(*) FROM {name} WHERE file_date = DATE'2026-04-27'").first()[0]
     assert n == 8
+
+
+def test_fact_is_the_same_when_every_key_counts_as_hot_and_no_lookup_as_small(built):
+    lake, _ = built
+    stamps = {"transaction_processed_at", "gold_processed_at"}
+    names = [n for n in TABLES[jobs.FACT].schema.names if n not in stamps]
+    spread = jobs.fact_of(lake, DAY, DAY, hot_rows=1, broadcast_rows=0)
+    as_set = lambda df: sorted(str(r) for r in df.select(*names).collect())
+    assert as_set(spread) == as_set(lake.read(jobs.FACT))
