@@ -26,7 +26,7 @@ def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> list:
     """Keys with about ``min_rows`` rows or more, found by one pass over the key column alone.
 
     Only frequency sketches of fixed size are shuffled. The list has at most 4096 keys however
-    large ``df`` is; a key that is left out holds under a four-thousandth of all rows.
+    large ``df`` is; a key that is left out holds under about a thousandth of all rows.
     """
     group = F.pmod(F.xxhash64(key), F.lit(GROUPS)).alias("_group")
     found = (
