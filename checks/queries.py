@@ -16,7 +16,7 @@ from ledgerwell.operators.hotkeys import hot_keys, with_scatter
 from ledgerwell.plans import calendar, jobs
 from ledgerwell.plans.audit import AUDIT_TABLE, LoadEvent, audited, table_counts
 from ledgerwell.schemas import TABLES, TRANSACTION_FLAGS
-from ledgerwell.session import configure, shared_folder
+from ledgerwell.session import configure, shared_folder, use_local_folder
 from ledgerwell.sources import jsonl
 from ledgerwell.sources.lake import Lake, write_json_lines
 from ledgerwell.streaming.ingest import ingest_transactions
@@ -30,7 +30,7 @@ START, END = date(2024, 1, 1), date(2024, 1, 31)
 
 def query(function: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return function(configure(spark), sf_dir)
+        return function(configure(use_local_folder(spark)), sf_dir)
 
     QUERIES[function.__name__] = run
     return function

@@ -42,15 +42,16 @@ def object_store_settings(endpoint: str, access_key: str, secret_key: str, *, tl
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, named by the cluster in ``spark.checkpoint.dir``.
-
-    A local session without that setting (tests) gets a temporary folder of its own.
-    """
+    """The folder every executor can reach, named by the cluster in ``spark.checkpoint.dir``."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not named:
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="ledgerwell-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return named
+
+
+def use_local_folder(spark: SparkSession) -> SparkSession:
+    """For tests and trials: name a temporary folder where ``spark.checkpoint.dir`` is unset and
+    driver and executors are one process. The library's jobs never call this."""
+    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.split("[")[0] == "local":
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="ledgerwell-"))
+    return spark
