@@ -263,3 +263,18 @@ def jaccard_groups(docs: DataFrame, width: int = 5, parts: int = 4, whole: int =
     met = narrow.join(named, ["h1", "h2"], "left")
     own = F.when(F.col("n_shingles") > 0, F.col("_component"))
     return met.select("doc_id", "n_shingles", F.coalesce(own, "doc_id").alias("component_id"))
+
+
+def one_of_each_group(docs: DataFrame, width: int = 5, parts: int = 4, whole: int = 5) -> DataFrame:
+    """The rows of ``docs`` without those linked to a smaller doc_id; of rows that repeat an id, one stays.
+
+    Texts without words and rows without id stay.
+    """
+    groups = stage(jaccard_groups(docs, width, parts, whole), "groups")
+    gone = stage(groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_id")).distinct(), "linked")
+    few = gone.count() <= BROADCAST_ROWS
+    kept = docs.join(F.broadcast(gone) if few else gone, docs["doc_id"] == gone["_id"], "left_anti")
+    again = groups.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if again.isEmpty():
+        return kept
+    return kept.join(again, "doc_id", "left_anti").unionByName(kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(docs.columns)

@@ -75,3 +75,10 @@ def mix_sources(docs: DataFrame, *, keep: Sequence[str] = (), weights: Sequence[
     start = F.expr(f"cast({RANK} as double)")
     crossed = F.floor((start + 1) * F.col("rate") + offset(seed)) - F.floor(start * F.col("rate") + offset(seed))
     return met.select("doc_id", "source", *keep, "size", "source_size", "target", crossed.cast("long").alias("copies"))
+
+
+def mixed_rows(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it, with all their columns."""
+    whole = docs.withColumn("_row", F.struct(*docs.columns))
+    taken = mix_sources(whole, keep=["_row"], **options).where("copies > 0")
+    return taken.select("_row", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("_row.*")

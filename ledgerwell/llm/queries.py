@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerwell.llm import fingerprints, jaccard, language, mixing, packing
+from ledgerwell.llm import fingerprints, jaccard, language, mixing, packing, pii, quality, recount, toxicity, warc
 from ledgerwell.llm.shared import crc32_of_id, documents
 from ledgerwell.session import use_local_folder
 
@@ -25,6 +25,16 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(documents(spark, sf_dir))
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    edited = recount.edited_counts(documents(spark, sf_dir), TOKENIZER)
+    digest = F.sha2(F.encode("text", "UTF-8"), 256).alias("edited_sha256")
+    return edited.select("doc_id", "n_tokens_before", "n_tokens", "n_encoded_anew", digest)
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(documents(spark, sf_dir))
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_groups(documents(spark, sf_dir), width=3, parts=9, whole=10)
 
@@ -34,6 +44,30 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", taken)
 
 
+def toxic_model(spark: SparkSession, sf_dir: str) -> tuple:
+    """Learned from the labelled documents that are not held out."""
+    docs, labels = documents(spark, sf_dir).select("doc_id", "text"), documents(spark, sf_dir, "labels").select("doc_id", "toxic")
+    return toxicity.learn(docs.join(labels, "doc_id").where(F.pmod(crc32_of_id(), F.lit(3)) != 1))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score(documents(spark, sf_dir), toxic_model(spark, sf_dir))
+    held_out = F.pmod(crc32_of_id(), F.lit(3)) == 1
+    predicted = (F.col("_score") >= 0.7).cast("int")
+    return scored.select("doc_id", held_out.alias("held_out"), F.col("_score").alias("score"), predicted.alias("predicted"))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc.round_trip(documents(spark, sf_dir, "pages")).where("problem is null")
+    return read.select(warc.page_of("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", warc.page_of("refers_to").alias("refers_to"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = documents(spark, sf_dir, "labels").where("quality = 1")
+    judged = quality.judge(documents(spark, sf_dir), trusted)
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     held_out = F.pmod(crc32_of_id(), F.lit(4)) == 2
@@ -46,8 +80,13 @@ _RAW: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_best_fit_packing,
         op2_fingerprints,
+        op3_token_counts,
+        op4_pii,
         op5_jaccard_join,
         op6_mixing,
+        op7_toxicity,
+        op8_warc,
+        op9_quality,
         op10_language_id,
     )
 }
@@ -63,3 +102,45 @@ def _with_folder(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[S
 
 
 QUERIES = {name: _with_folder(query) for name, query in _RAW.items()}
+
+# SQL for the queries that DuckDB can express whole.
+ORACLE = {
+    "op6_mixing": r"""
+WITH sized AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents
+), sources AS (
+    SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1 AS nth
+    FROM sized GROUP BY source
+), weighed AS (
+    SELECT *, [3.0, 1.0, 2.0][(nth % 3 + 1)::INT]::DOUBLE AS weight, source_size * 2.0::DOUBLE AS most FROM sources
+), levels AS (
+    SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(most) OVER (ORDER BY most / weight, nth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+        / sum(weight) OVER (ORDER BY most / weight, nth ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+    FROM weighed
+), goals AS (
+    SELECT source, source_size, least(most, coalesce((SELECT level FROM levels WHERE level * weight <= most ORDER BY most / weight, nth LIMIT 1) * weight, most)) AS goal
+    FROM levels
+), ranked AS (
+    SELECT s.doc_id, s.size, g.source_size, g.goal,
+        CASE WHEN g.source_size > 0 THEN g.goal / g.source_size ELSE 0 END AS rate,
+        (row_number() OVER (PARTITION BY s.source ORDER BY s.size, md5(coalesce(s.doc_id::VARCHAR, '')), s.doc_id) - 1)::DOUBLE AS rank,
+        ('0x' || substr(md5('mix-1/' || coalesce(s.source, '')), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS start
+    FROM sized s JOIN goals g ON s.source IS NOT DISTINCT FROM g.source
+)
+SELECT doc_id, size, source_size, round(goal, 6) AS target,
+    ((floor((rank + 1) * rate + start) - floor(rank * rate + start)) * size)::BIGINT AS taken
+FROM ranked
+""",
+    "op8_warc": r"""
+WITH p AS (
+    SELECT page_id, coalesce(html, '') AS html FROM pages
+), k AS (
+    SELECT *, max(page_id) OVER (PARTITION BY html) AS keeper FROM p
+), r AS (
+    SELECT *, strlen(html) >= 1000 AND page_id <> keeper AS again FROM k
+)
+SELECT page_id, strlen(html)::BIGINT AS payload_bytes, sha1(html) AS payload_digest,
+    CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN keeper END AS refers_to
+FROM r
+""",
+}
