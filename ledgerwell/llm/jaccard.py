@@ -1,19 +1,21 @@
 """Jaccard join of word shingle sets by parity sketches, with groups instead of pairs.
 
-A parity sketch keeps, per bit, whether an odd number of shingles fell on it; the Hamming distance of
-two sketches is at most the number of shingles in one set only. Sets that link differ in at most
-D shingles, D depending on their sizes, so of D + 1 words of their sketches one is equal: equal words
-are the only way to become candidates, and no link is lost (pigeonhole).
-
-Links inside large groups of copies are not listed. Candidates form groups over shared words; inside a
-group, in blocks of bounded size, a search from one text to those not yet reached compares each pair
-at most once and mostly not at all, and gives a tree of exactly verified links.
+Shingles are XOR-hashed into two sketches per set: a bit sketch, whose Hamming distance to another is
+at most the number of shingles in one set only, and a row of 64-bit words, each the XOR of the hashes
+that fall on it, of which at most as many differ. Sets that link differ in at most D shingles, D
+depending on their sizes. So of D + 1 words one is equal (pigeonhole): sets meet in buckets of equal
+words, per size band, and no link is lost. In a bucket, bit sketches too far apart are told apart
+without the sets; what is left is near enough to be verified exactly.
+
+Links inside large groups of copies are not listed. In buckets and in verified groups, always in blocks
+of bounded size, a search from one set to those not yet reached compares each pair at most once and
+mostly not at all, and gives a tree of links.
 """
 
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,12 +28,80 @@ from ledgerwell.llm.shared import stage
 
 # Size bands: each reaches GROWTH times as far as the one before.
 GROWTH = 1.6
-# A block of a candidate group: texts, and shingles in all.
+# A block of a bucket: sets. A block of a group to verify: sets, and shingles in all.
+BUCKET_SETS = 4000
 BLOCK_TEXTS = 2000
 BLOCK_SHINGLES = 1_000_000
-# A table of so many (id, group) pairs is broadcast; a larger one is joined by shuffle.
+# A table of so many narrow rows is broadcast; a larger one is joined by shuffle.
+BROADCAST_ROWS = 500_000
+
+
+def difference(sizes: int, parts: int, whole: int) -> int:
+    """How many shingles two sets of ``sizes`` in all may not share at a similarity of parts/whole."""
+    return sizes * (whole - parts) // (whole + parts)
+
+
+@functools.cache
+def size_bands(largest: int) -> list[int]:
+    """First size of each band, past ``largest``."""
+    bands = [1]
+    while bands[-1] <= largest:
+        bands.append(max(bands[-1] + 1, int(bands[-1] * GROWTH)))
+    return bands
+
+
+def bit_sketch(hashes: np.ndarray) -> np.ndarray:
+    """Parity of the shingles on each of at least as many bits, in a power of two of 64-bit words, two at least."""
+    words = 1 << max(1, (len(hashes) - 1) // 64).bit_length()
+    h = mix(hashes, 5)
+    out = np.zeros(words, np.uint64)
+    np.bitwise_xor.at(out, (h >> np.uint64(6)).astype(np.int64) & (words - 1), np.uint64(1) << (h & np.uint64(63)))
+    return out
+
+
+def folded(sketches: list[np.ndarray]) -> np.ndarray:
+    """Sketches at the length of the shortest: halves XORed are the sketch of half the length."""
+    least = min(map(len, sketches))
+    out = []
+    for s in sketches:
+        while len(s) > least:
+            s = s[: len(s) // 2] ^ s[len(s) // 2 :]
+        out.append(s)
+    return np.stack(out)
+
+
+def keys_of(hashes: np.ndarray, parts: int, whole: int) -> np.ndarray:
+    """One key per word of the XOR sketch, in each band where the set may be either side of a link.
+
+    A pair belongs to the band of its larger set; the smaller has at least parts/whole of that size.
+    Bands where linked sets are equal have no keys. Words on which no shingle falls would bring
+    unlike sets together. There are ``spare`` words more than needed, so a set with no more empty words
+    than that shares a filled word with each of its links, and its empty words give no keys; only where
+    both sets of a pair have more can an empty word be all they share.
+    """
+    n, out = len(hashes), []
+    bands = size_bands(n * whole // parts)
+    for band in range(len(bands) - 1):
+        low, high = bands[band], bands[band + 1] - 1
+        if n <= high and whole * n >= parts * low:
+            allowed = difference(2 * high, parts, whole)
+            if allowed:
+                spare, seed = 2 + allowed // 25, 100 + band
+                words = allowed + 1 + spare
+                h, xors = mix(hashes, seed), np.zeros(words, np.uint64)
+                at = ((h >> np.uint64(32)) * np.uint64(words) >> np.uint64(32)).astype(np.int64)
+                np.bitwise_xor.at(xors, at, mix(h, 9))
+                keys = mix(xors ^ mix(np.arange(words, dtype=np.uint64), seed), seed)
+                filled = np.bincount(at, minlength=words) > 0
+                out.append(keys[filled] if words - int(filled.sum()) <= spare else keys)
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+
+
+_SETS = 4000
+BLOCK_TEXTS = 2000
+BLOCK_SHINGLES = 1_000_000
+# A table of so many narrow rows is broadcast; a larger one is joined by shuffle.
 BROADCAST_ROWS = 500_000
-SKETCH_WORDS = 64
 
 
 def difference(sizes: int, parts: int, whole: int) -> int:
@@ -75,7 +145,7 @@ def keys_of(hashes: np.ndarray, parts: int, whole: int) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-_SETS = "doc_id long, n_shingles long, h1 long, h2 long, keys array<long>"
+_SETS = "doc_id long, n_shingles long, h1 long, h2 long, sketch binary, keys array<long>"
 
 
 def _distinct(texts: list[str | None], width: int) -> Iterator[np.ndarray]:
@@ -90,105 +160,191 @@ def _name(s: np.ndarray) -> tuple[int, int]:
 
 
 def shingle_sets(docs: DataFrame, width: int, parts: int, whole: int) -> DataFrame:
-    """Per text: set size, the set's 128-bit name, and its candidate keys."""
+    """Per text: set size, the set's 128-bit name, its bit sketch and its bucket keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sizes, names, keys = [], [], []
+            sizes, names, bits, keys = [], [], [], []
             for s in _distinct(b.column(1).to_pylist(), width):
                 sizes.append(len(s))
                 names.append(_name(s))
+                bits.append(bit_sketch(s).tobytes())
                 keys.append(keys_of(s, parts, whole).view(np.int64))
             ends = np.cumsum([0, *map(len, keys)]).astype(np.int32)
             flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
-            columns = [b.column(0), pa.array(sizes, pa.int64()), *(pa.array([n[i] for n in names], pa.int64()) for i in (0, 1)), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "h1", "h2", "keys"])
+            columns = [b.column(0), pa.array(sizes, pa.int64()), *(pa.array([n[i] for n in names], pa.int64()) for i in (0, 1)), pa.array(bits, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "h1", "h2", "sketch", "keys"])
 
     chosen = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return chosen.mapInArrow(run, _SETS)
 
 
-def _unlike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The distinct pairs, as two rows."""
-    order = np.lexsort((b, a))
-    a, b = a[order], b[order]
-    new = np.ones(len(a), bool)
-    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-    return np.stack((a[new], b[new]))
-
-
 def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, node) of each batch; of nodes that share a key only the least keeps it, the others become edges to it."""
+    """(dest, node, key) of each batch's bucket members.
+
+    Of nodes that share a key in the batch only the least goes to the key's task, and says by a filled
+    ``key`` that it is not alone; the others are known members already and go anywhere.
+    """
     for b in batches:
         node = np.repeat(b.column(0).to_numpy(), b.column(1).value_lengths().to_numpy(zero_copy_only=False))
         key = b.column(1).flatten().to_numpy()
         order = np.lexsort((node, key))
         key, node = key[order], node[order]
-        new = np.ones(len(key), bool)
+        new, again = np.ones(len(key), bool), np.zeros(len(key), bool)
         new[1:] = key[1:] != key[:-1]
-        least = node[np.flatnonzero(new)][np.cumsum(new) - 1] if len(key) else node
-        edge = ~new & (node != least)
-        pairs = _unlike(node[edge], least[edge])
-        columns = (np.concatenate((key[new], mix(pairs[0].view(np.uint64)).view(np.int64))), np.concatenate((node[new], pairs[0])))
-        other = pa.array(np.concatenate((np.zeros(int(new.sum()), np.int64), pairs[1])), mask=np.repeat([True, False], [int(new.sum()), pairs.shape[1]]))
-        yield pa.RecordBatch.from_arrays([*map(pa.array, columns), other], ["key", "node", "other"])
+        again[1:] = ~new[1:] & (node[1:] == node[:-1])
+        key, node, new = key[~again], node[~again], new[~again]
+        shared = ~new
+        shared[:-1] |= ~new[1:]
+        spread = mix(node.view(np.uint64) ^ mix(key.view(np.uint64), 1), 2).view(np.int64)
+        dest = np.where(new, key, np.where(spread == key, spread ^ 1, spread))
+        yield pa.RecordBatch.from_arrays([pa.array(dest), pa.array(node), pa.array(key, mask=~shared)], ["dest", "node", "key"])
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, node) of buckets with several nodes; rows sorted by (dest, node)."""
+    held: tuple[int, int] | None = None  # the last row of its bucket so far, not yet given out
 
+    def rows(keys: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(nodes)], ["key", "node"])
 
-def _adjacent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges between neighbours with the same key, rows sorted by (key, node)."""
     last: tuple[int, int] | None = None
     for b in batches:
-        made = b.column(2).is_valid().to_numpy(zero_copy_only=False)
-        ready = np.stack((b.column(1).to_numpy()[made], b.column(2).fill_null(0).to_numpy()[made]))
-        key, node = b.column(0).to_numpy()[~made], b.column(1).to_numpy()[~made]
+        dest, node = b.column(0).to_numpy(), b.column(1).to_numpy()
+        filled = b.column(2).is_valid().to_numpy(zero_copy_only=False)
+        key = np.where(filled, b.column(2).fill_null(0).to_numpy(), dest)
+        own = key == dest
+        out_keys, out_nodes = [key[~own]], [node[~own]]
+        key, node, known = key[own], node[own], filled[own]
         if len(key):
-            if last:
-                key, node = np.concatenate(([last[0]], key)), np.concatenate(([last[1]], node))
+            # Copies of a row are one row, known to be in company if one of them is.
+            first = np.ones(len(key), bool)
+            first[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
+            at = np.flatnonzero(first)
+            key, node, known = key[at], node[at], np.maximum.reduceat(known, at)
+            again = last == (int(key[0]), int(node[0]))
+            same = np.zeros(len(key), bool)
+            same[1:] = key[1:] == key[:-1]
+            same[0] = last is not None and last[0] == key[0] and not again
+            shared = same | known
+            shared[:-1] |= same[1:]
+            if held and (same[0] or again and shared[0]):
+                out_keys.append(np.array([held[0]]))
+                out_nodes.append(np.array([held[1]]))
+                held = None
             last = int(key[-1]), int(node[-1])
-            meet = (key[1:] == key[:-1]) & (node[1:] != node[:-1])
-            ready = np.concatenate((ready, np.stack((node[1:][meet], node[:-1][meet]))), axis=1)
-        ready = _unlike(*ready)
-        yield pa.RecordBatch.from_arrays([pa.array(ready[0]), pa.array(ready[1])], ["a", "b"])
+            give = shared.copy()
+            give[0] &= not again  # given out before, or just now
+            if not (again and len(key) == 1):
+                held = None if shared[-1] else last
+            out_keys.append(key[give])
+            out_nodes.append(node[give])
+        yield rows(np.concatenate(out_keys), np.concatenate(out_nodes))
 
 
-def candidate_edges(sets: DataFrame) -> DataFrame:
-    """Edges over set names (h1) that join all sets with a common key.
+def _near(batches: Iterator[pa.RecordBatch], parts: int, whole: int) -> Iterator[pa.RecordBatch]:
+    """Edges (a, b) of trees over each bucket's sets whose bit sketches allow a link.
 
-    Nodes that share a key within a batch are joined there, so a key that very many sets share is
-    shuffled once per batch; the rest follows from neighbours in (key, node) order. Equal h1 of unequal
-    sets only makes a candidate group larger.
+    Rows: bucket, lo, hi, node, n, sketch, sorted by the first three.
     """
-    keyed = sets.where(F.size("keys") > 0).select("h1", "keys").mapInArrow(_gathered, "key long, node long, other long")
-    sorted_keys = keyed.repartition("key").sortWithinPartitions("key", "node")
-    return sorted_keys.mapInArrow(_adjacent, "a long, b long").distinct()
+    at, nodes, sizes, bits = None, [], [], []
 
+    def done() -> pa.RecordBatch:
+        table, n = folded(bits), np.array(sizes)
 
-def _links(ids: list[int], sets: list[np.ndarray], parts: int, whole: int) -> list[tuple[int, int]]:
-    """For each text linked with another: (id, id of its tree's root), by search over exact links."""
-    n = len(ids)
-    sizes = np.array([len(s) for s in sets])
-    sketches = None
-    if n > 4:
-        words = min(SKETCH_WORDS, 1 + int(sizes.max()) // 16)
-        sketches = np.stack([sketch(s, words, 5) for s in sets])
+        def near(x: int, left: np.ndarray) -> np.ndarray:
+            may = np.flatnonzero(_sizes_fit(n[x], n[left], parts, whole))
+            far = np.bitwise_count(table[left[may]] ^ table[x]).sum(axis=1, dtype=np.int64)
+            return may[far <= (n[left[may]] + n[x]) * (whole - parts) // (whole + parts)]
+
+        found = [(nodes[y], nodes[x]) for y, x in _tree(len(nodes), near) if nodes[x] != nodes[y]]
+        return pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+    for b in batches:
+        for key, lo, hi, node, n, sketch in zip(*(b.column(i).to_pylist() for i in range(6)), strict=True):
+            if (key, lo, hi) != at:
+                if len(nodes) > 1:
+                    yield done()
+                at, nodes, sizes, bits = (key, lo, hi), [], [], []
+            if nodes[-1:] != [node]:
+                nodes.append(node)
+                sizes.append(n)
+                bits.append(np.frombuffer(sketch, np.uint64))
+    if len(nodes) > 1:
+        yield done()
+
+
+def _sizes_fit(n: int, others: np.ndarray, parts: int, whole: int) -> np.ndarray:
+    return whole * np.minimum(others, n) >= parts * np.maximum(others, n)
+
+
+def _tree(n: int, near: Callable[[int, np.ndarray], np.ndarray]) -> Iterator[tuple[int, int]]:
+    """(member, root) for all members of the components of ``near`` but the roots.
+
+    ``near`` gets one member and those not yet reached, and says which positions it reaches.
+    """
     left = np.arange(n)
-    out = []
     while len(left):
-        root, left = left[0], left[1:]
+        root, left = int(left[0]), left[1:]
         queue = [root]
         while queue and len(left):
-            x = queue.pop()
-            total = sizes[left] + sizes[x]
-            may = whole * np.minimum(sizes[left], sizes[x]) >= parts * np.maximum(sizes[left], sizes[x])
-            if sketches is not None:
-                near = np.flatnonzero(may)
-                far = np.bitwise_count(sketches[left[near]] ^ sketches[x]).sum(axis=1)
-                may[near[far > total[near] * (whole - parts) // (whole + parts)]] = False
-            met = [i for i in np.flatnonzero(may).tolist() if _similar(sets[x], sets[left[i]], parts, whole)]
-            queue += left[met].tolist()
-            out += [(ids[y], ids[root]) for y in left[met].tolist()]
+            met = near(queue.pop(), left)
+            reached = left[met].tolist()
+            queue += reached
+            yield from ((y, root) for y in reached)
             left = np.delete(left, met)
-    return out
+
+
+def _in_blocks(members: DataFrame, counts: DataFrame, group: str, item: str) -> DataFrame:
+    """``members`` with lo and hi, a pair of blocks to compare within.
+
+    ``counts`` has the groups of several ``blocks``; a member of one goes to all pairs with its own block,
+    members of other groups stay together.
+    """
+    large = counts.select(F.col(group).alias("_group"), "blocks")
+    few = large.count() <= BROADCAST_ROWS
+    met = members.join(F.broadcast(large) if few else large, F.col(group) == F.col("_group"), "left")
+    blocks = F.coalesce("blocks", F.lit(1)).cast("int")
+    own = F.pmod(F.xxhash64(item), blocks).cast("int")
+    pairs = F.transform(F.sequence(F.lit(0), blocks - 1), lambda i: F.struct(F.least(i, own).alias("lo"), F.greatest(i, own).alias("hi")))
+    return met.withColumn("_pair", F.explode(pairs)).select(*members.columns, "_pair.lo", "_pair.hi")
+
+
+def candidate_edges(sets: DataFrame, parts: int, whole: int) -> DataFrame:
+    """Edges over set names (h1) between sets that meet in a bucket with sketches near enough.
+
+    A key that very many sets share is shuffled once per batch to find out that it is shared. Equal h1
+    of unequal sets only makes a candidate group larger.
+    """
+    keyed = sets.where(F.size("keys") > 0).select("h1", "keys").mapInArrow(_gathered, "dest long, node long, key long")
+    met = keyed.repartition("dest").sortWithinPartitions("dest", "node").mapInArrow(_met, "key long, node long")
+    met = stage(met, "buckets")
+    # Near copies meet in many buckets of the same sets; one of those buckets is enough.
+    named = met.groupBy("key").agg(F.bit_xor(F.xxhash64("node")).alias("bucket"))
+    named = stage(named, "bucket-names").withColumnRenamed("key", "_key")
+    met = stage(met.join(named, F.col("key") == F.col("_key")).select("bucket", "node").distinct(), "bucket-sets")
+    large = met.groupBy("bucket").count().where(F.col("count") > BUCKET_SETS)
+    large = stage(large.select("bucket", F.ceil(F.col("count") / F.lit(BUCKET_SETS)).cast("int").alias("blocks")), "large-buckets")
+    sketches = sets.select("h1", "n_shingles", "sketch").dropDuplicates(["h1"])
+    dealt = _in_blocks(met, large, "bucket", "node").join(sketches, F.col("node") == F.col("h1"))
+    group = ["bucket", "lo", "hi"]
+    rows = dealt.select(*group, "node", "n_shingles", "sketch").repartition(*group).sortWithinPartitions(*group, "node")
+    return rows.mapInArrow(lambda batches: _near(batches, parts, whole), "a long, b long").distinct()
+
+
+def _links(ids: list[int], sets: list[np.ndarray], parts: int, whole: int) -> list[tuple[int, int]]:
+    """For each text linked with another: (id, id of its tree's root), by search over exact links."""
+    sizes = np.array([len(s) for s in sets])
+    bits = folded([bit_sketch(s) for s in sets]) if len(ids) > 4 else None
+
+    def near(x: int, left: np.ndarray) -> np.ndarray:
+        may = np.flatnonzero(_sizes_fit(sizes[x], sizes[left], parts, whole))
+        if bits is not None:
+            far = np.bitwise_count(bits[left[may]] ^ bits[x]).sum(axis=1, dtype=np.int64)
+            may = may[far <= (sizes[left[may]] + sizes[x]) * (whole - parts) // (whole + parts)]
+        return np.array([i for i in may.tolist() if _similar(sets[x], sets[left[i]], parts, whole)], np.int64)
+
+    return [(ids[y], ids[x]) for y, x in _tree(len(ids), near)]
 
 
 def _similar(a: np.ndarray, b: np.ndarray, parts: int, whole: int) -> bool:
@@ -203,17 +359,11 @@ def _verified(docs: DataFrame, sets: DataFrame, groups: DataFrame, width: int, p
     """Exact links (a, b) over doc ids within each candidate group; a and b stand for their sets."""
     spark = docs.sparkSession
     # One text per distinct set of a candidate group.
-    texts = sets.drop("keys").join(groups, sets["h1"] == groups["node"]).groupBy("component", "h1", "h2")
+    texts = sets.drop("keys", "sketch").join(groups, sets["h1"] == groups["node"]).groupBy("component", "h1", "h2")
     texts = stage(texts.agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n")).where("doc_id is not null"), "candidates")
-    parts_of = texts.groupBy("component").agg(
-        F.ceil(F.greatest(F.count("*") / F.lit(BLOCK_TEXTS), F.sum("n") / F.lit(BLOCK_SHINGLES))).cast("int").alias("blocks"),
-        F.count("*").alias("members"),
-    )
-    many = texts.join(parts_of.where("members > 1"), "component")
-    block = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
-    # A large group is compared block by block: each text goes to all pairs of blocks with its own.
-    to = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: F.struct(F.least(i, block).alias("lo"), F.greatest(i, block).alias("hi"))))
-    dealt = stage(many.select("component", "doc_id", "h1", "h2", to.alias("to")).select("component", "doc_id", "h1", "h2", "to.lo", "to.hi"), "dealt")
+    blocks = F.ceil(F.greatest(F.count("*") / F.lit(BLOCK_TEXTS), F.sum("n") / F.lit(BLOCK_SHINGLES))).cast("int")
+    large = stage(texts.groupBy("component").agg(blocks.alias("blocks")).where("blocks > 1"), "large-groups")
+    dealt = stage(_in_blocks(texts.drop("n"), large, "component", "doc_id"), "dealt")
     chosen = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text"))
     small = dealt.count() <= BROADCAST_ROWS
     with_text = chosen.join(F.broadcast(dealt) if small else dealt, F.col("_id") == F.col("doc_id"))
@@ -253,7 +403,7 @@ def jaccard_groups(docs: DataFrame, width: int = 5, parts: int = 4, whole: int =
     64-bit shingle hashes. No documents give no rows.
     """
     sets = stage(shingle_sets(docs, width, parts, whole), "sets")
-    groups = components(candidate_edges(sets), "candidate-groups")
+    groups = components(candidate_edges(sets, parts, whole), "candidate-groups")
     links = components(_verified(docs, sets, groups, width, parts, whole), "links")
     narrow = sets.select("doc_id", "n_shingles", "h1", "h2")
     classes = narrow.where("n_shingles > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("_rep"), F.count("*").alias("_n"))

@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerwell.llm import fingerprints, jaccard, language, mixing, packing, pii, quality, recount, toxicity, warc
-from ledgerwell.llm.shared import crc32_of_id, documents
-from ledgerwell.session import use_local_folder
+from ledgerwell.llm.shared import crc32_of_id, documents, prepared
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -94,8 +93,7 @@ _RAW: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 def _with_folder(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        use_local_folder(spark)
-        return query(spark, sf_dir)
+        return query(prepared(spark), sf_dir)
 
     run.__name__ = query.__name__
     return run

@@ -14,24 +14,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerwell.llm.tokens import ChunkEncoder, pieces_of
+from ledgerwell.llm.tokens import ChunkEncoder
 
 LEAF_CHUNKS = 16
 EDITS = "array<struct<start:long,end:long,text:string>>"
 
 
-def _leaves(text: str, encoder: ChunkEncoder) -> tuple[np.ndarray, np.ndarray]:
+def _leaves(pieces: list[list[str]], memo: dict[str, bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Code points and tokens of each leaf; every chunk but the text's last counts the blank behind it."""
     chars, tokens = [], []
-    pieces = list(pieces_of(text))
-    for nth, piece in enumerate(pieces):
-        found = encoder.chunks(piece)
-        size = np.fromiter(map(len, piece.replace("\n", " ").split(" ")), np.int64) + 1
+    for nth, chunks in enumerate(pieces):
+        size = np.fromiter(map(len, chunks), np.int64) + 1
         if nth == len(pieces) - 1:
             size[-1] -= 1
         at = np.arange(0, len(size), LEAF_CHUNKS)
         chars.append(np.add.reduceat(size, at))
-        tokens.append(np.add.reduceat(np.fromiter(map(len, found), np.int64) // 4, at))
+        tokens.append(np.add.reduceat(np.fromiter(map(len, map(memo.__getitem__, chunks)), np.int64) // 4, at))
     return np.concatenate(chars), np.concatenate(tokens)
 
 
@@ -55,8 +53,8 @@ class TokenTree:
         self.chars, self.tokens = chars, tokens
 
     @classmethod
-    def build(cls, text: str, encoder: ChunkEncoder) -> TokenTree:
-        return cls(*map(_summed, _leaves(text, encoder)))
+    def build(cls, texts: list[str], encoder: ChunkEncoder) -> list[TokenTree]:
+        return [cls(*map(_summed, _leaves(pieces, encoder.memo))) for pieces in encoder.split(texts)]
 
     @property
     def total(self) -> int:
@@ -81,7 +79,7 @@ class TokenTree:
         last, last_at = self.leaf_at(end)
         until = last_at + int(self.chars[last])
         region = text[at:start] + new + text[end:until]
-        chars, tokens = _leaves(region, encoder)
+        chars, tokens = _leaves(next(encoder.split([region])), encoder.memo)
         if len(chars) > 4:  # much text came in: more leaves
             half = len(self.chars) // 2
             keep = lambda tree, own: _summed(np.concatenate((tree[half:first], own, tree[last + 1 :])))
@@ -114,7 +112,7 @@ def build_trees(docs: DataFrame, tokenizer: str, edits: str | None = None) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = ChunkEncoder.of(tokenizer)
         for b in batches:
-            trees = [TokenTree.build(t, encoder) for t in b.column(1).to_pylist()]
+            trees = TokenTree.build(b.column(1).to_pylist(), encoder)
             yield pa.RecordBatch.from_arrays([*b.columns, _lists([t.chars for t in trees]), _lists([t.tokens for t in trees])], [*b.schema.names, "tree_chars", "tree_tokens"])
 
     chosen = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *([F.col(edits).cast(EDITS).alias("edits")] if edits else []))

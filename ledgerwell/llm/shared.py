@@ -7,12 +7,22 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerwell.session import shared_folder
+from ledgerwell.session import shared_folder, use_local_folder
+
+# Texts are long: small batches keep a worker's memory low. Runtime settings of the session.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
 
 # Words everywhere in this package: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def prepared(spark: SparkSession) -> SparkSession:
+    """The session with the batch sizes these operators use; a local trial gets a shared folder."""
+    for key, value in BATCHES.items():
+        spark.conf.set(key, value)
+    return use_local_folder(spark)
+
+
 def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

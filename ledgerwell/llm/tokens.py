@@ -7,14 +7,18 @@ chunk met before costs one look-up; new chunks are encoded many at a time.
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections import deque
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
 PIECE_CHARS = 1 << 20
-REMEMBERED = 600_000
+GROUP_CHARS = 1 << 16
+REMEMBERED = 500_000
 WORDS_AT_ONCE = 2000
 _TAIL = ",.;:!?"
+# Below this all letters have one lower-case letter each and no other composed form.
+_LATIN_END = "\u0130"
 _loaded: dict[str, ChunkEncoder] = {}
 
 
@@ -30,16 +34,38 @@ def pieces_of(text: str) -> Iterator[str]:
     yield text[at:] if at else text
 
 
+class _Memo(dict):
+    """Ids by chunk, in two generations: what is still in use moves on from the older one. A chunk in
+    neither is noted, and has no ids for now."""
+
+    def __init__(self, older: dict[str, bytes]):
+        super().__init__({"": b""})
+        self.older = older
+        self.missed: set[str] = set()
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.older.get(chunk)
+        if ids is None:
+            self.missed.add(chunk)
+            return b""
+        self[chunk] = ids
+        return ids
+
+
 class ChunkEncoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        # For words that are already what the file's normalizer and patterns would make of them.
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends_word = np.zeros(max(vocab.values()) + 1, bool)
         self.ends_word[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
-        self.memo: dict[str, bytes] = {"": b""}
+        self.memo = _Memo({})
 
     @staticmethod
     def of(path: str) -> ChunkEncoder:
@@ -48,52 +74,70 @@ class ChunkEncoder:
             _loaded[path] = ChunkEncoder(path)
         return _loaded[path]
 
-    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
+    def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """Per text its ids as little-endian unsigned 32-bit numbers."""
+        for pieces in self.split(texts):
+            yield b"".join(b"".join(map(self.memo.__getitem__, chunks)) for chunks in pieces)
+
+    def split(self, texts: Iterable[str | None]) -> Iterator[list[list[str]]]:
+        """Per text its pieces as chunks between blanks and line feeds; their ids are in ``memo`` until
+        the next text is asked for. New chunks of several texts are learned together."""
+        held: list[list[list[str]]] = []
+        size = 0
         for text in texts:
-            yield b"".join(b"".join(self.chunks(piece)) for piece in pieces_of(text or ""))
-
-    def chunks(self, piece: str) -> list[bytes]:
-        """Ids of the piece's chunks between blanks and line feeds, in order."""
-        chunks = piece.replace("\n", " ").split(" ")
-        try:
-            return list(map(self.memo.__getitem__, chunks))
-        except KeyError:
-            if len(self.memo) > REMEMBERED:
-                self.memo = {"": b""}
-            self._learn(set(chunks).difference(self.memo))
-            return list(map(self.memo.__getitem__, chunks))
+            held.append([piece.replace("\n", " ").split(" ") for piece in pieces_of(text or "")])
+            size += len(text or "")
+            if size >= GROUP_CHARS:
+                self._meet(held)
+                yield from held
+                held, size = [], 0
+        self._meet(held)
+        yield from held
+
+    def _meet(self, held: list[list[list[str]]]) -> None:
+        if len(self.memo) > REMEMBERED:
+            self.memo.older = {}
+            self.memo = _Memo(self.memo)
+        memo = self.memo
+        for pieces in held:
+            for chunks in pieces:
+                deque(map(memo.__getitem__, chunks), maxlen=0)
+        if memo.missed:
+            missed, memo.missed = memo.missed, set()
+            self._learn(missed)
 
     def _learn(self, chunks: set[str]) -> None:
-        """A plain word with final punctuation is two tokens' groups: it shares what its word gives."""
-        parts, words, whole = {}, set(), set()
+        """A plain word with final punctuation is its word's ids and its punctuation's."""
+        memo, parts, words, whole = self.memo, [], set(), set()
         for chunk in chunks:
             core = chunk.rstrip(_TAIL)
-            if core and core.isalpha():
+            if core.isalpha() and (core.isascii() or max(core) < _LATIN_END):
+                low = core.lower()
                 tail = chunk[len(core) :]
-                core = core.lower() if core.isascii() else core
-                parts[chunk] = core, tail
-                words.add(core)
-                whole.add(tail)
+                parts.append((chunk, low, tail))
+                if low not in memo and low not in memo.older:
+                    words.add(low)
+                if tail not in memo and tail not in memo.older:
+                    whole.add(tail)
             else:
                 whole.add(chunk)
-        memo = self.memo
-        self._words([w for w in words if w not in memo])
-        self._whole([w for w in whole if w not in memo])
-        for chunk, (core, tail) in parts.items():
-            memo[chunk] = memo[core] + memo[tail]
+        self._words(list(words))
+        self._whole(list(whole))
+        for chunk, low, tail in parts:
+            memo[chunk] = memo[low] + memo[tail] if tail else memo[low]
 
     def _whole(self, chunks: list[str]) -> None:
         for chunk, e in zip(chunks, self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False), strict=True):
             self.memo[chunk] = np.array(e.ids, "<u4").tobytes()
 
     def _words(self, words: list[str]) -> None:
-        """Letters only: each is one run that ends in a word-end token, so many go in one text."""
+        """Lower-case Latin letters only: each word is one run that ends in a word-end token, so many
+        go in one text."""
         for i in range(0, len(words), WORDS_AT_ONCE):
             some = words[i : i + WORDS_AT_ONCE]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            ids = np.array(self.plain.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
             ends = np.flatnonzero(self.ends_word[ids]) + 1
-            if len(ends) != len(some):  # a letter that decomposes, or one the tokenizer does not know as one
+            if len(ends) != len(some):
                 self._whole(some)
                 continue
             raw, start = ids.tobytes(), 0
