@@ -7,20 +7,20 @@ from pyspark.sql import functions as F
 
 from ledgerwell.llm import jaccard, mixing, packing, pii, toxicity
 from ledgerwell.llm.queries import TOKENIZER, toxic_model
-from ledgerwell.llm.shared import documents, stage
-from ledgerwell.session import use_local_folder
+from ledgerwell.llm.shared import documents, prepared, stage
 
 REJECTED_FROM = 0.7
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents below the toxicity score that rejects; the model learns from the labels of ``sf_dir``."""
-    scored = toxicity.score(docs, toxic_model(spark, sf_dir), keep=docs.columns)
+    scored = toxicity.score(docs, toxic_model(prepared(spark), sf_dir), keep=docs.columns)
     return scored.where(F.col("_score") < REJECTED_FROM).select(docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by five-word shingles at a similarity of 0.8 or more."""
+    prepared(spark)
     return jaccard.one_of_each_group(docs, width=5, parts=4, whole=5)
 
 
@@ -37,6 +37,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents and their places in sequences."""
+    prepared(spark)
     return packing.pack_documents(docs, TOKENIZER)
 
 
@@ -53,8 +54,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    use_local_folder(spark)
-    docs = documents(spark, sf_dir)
+    docs = documents(prepared(spark), sf_dir)
     for nth, (_, work) in enumerate(STAGES):
         docs = work(spark, docs, sf_dir)
         if nth < len(STAGES) - 1:
