@@ -45,8 +45,8 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def toxic_model(spark: SparkSession, sf_dir: str) -> tuple:
     """Learned from the labelled documents that are not held out."""
-    docs, labels = documents(spark, sf_dir).select("doc_id", "text"), documents(spark, sf_dir, "labels").select("doc_id", "toxic")
-    return toxicity.learn(docs.join(labels, "doc_id").where(F.pmod(crc32_of_id(), F.lit(3)) != 1))
+    labels = documents(spark, sf_dir, "labels").where(F.pmod(crc32_of_id(), F.lit(3)) != 1)
+    return toxicity.learn(documents(spark, sf_dir), labels)
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,14 +8,17 @@ A match that an exception phrase covers does not count.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator, Sequence
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerwell.llm.shared import stage
+
 # Characters that stand for Latin letters. Cyrillic and Greek look-alikes, then digits and signs.
 HOMOGLYPHS = {
     "а": "a", "в": "b", "с": "c", "ԁ": "d", "е": "e", "һ": "h", "і": "i", "ј": "j", "к": "k", "м": "m", "о": "o",
@@ -29,11 +32,15 @@ EXCEPTIONS = ("trash can", "trash bin", "trash bag", "clown fish", "scum line",
 TERMS = 2000
 LEAST_SHARE = 0.01
 PREFIXES = (4, 5, 6, 7, 8)
+# So many labels are broadcast.
+BROADCAST_ROWS = 1_000_000
 # Log of smoothed odds from which a term is kept.
 LEAST_WEIGHT = 3.0
-_FULL_WIDTH = {0xFF01 + i: chr(0x21 + i) for i in range(94)}
-_LETTERS = str.maketrans({**{k: v for k, v in HOMOGLYPHS.items()}, **{k.upper(): v for k, v in HOMOGLYPHS.items() if len(k.upper()) == 1}, **_FULL_WIDTH})
-_BOUND = str.maketrans({c: " " for c in map(chr, range(128)) if not c.isalpha() and c not in DIGITS and c != "'"})
+_FULL_WIDTH = {chr(0xFF01 + i): chr(0x21 + i) for i in range(94)}
+_LETTERS = str.maketrans({**HOMOGLYPHS, **{k.upper(): v for k, v in HOMOGLYPHS.items() if len(k.upper()) == 1}, **_FULL_WIDTH})
+_BOUND = {i: " " for i in range(128) if not chr(i).isalpha() and chr(i) not in DIGITS and chr(i) != "'"}
+_BOUND_BYTES = bytes(ord(_BOUND.get(i, chr(i))) for i in range(256))
+_MASKED = re.compile(r"[^ ]*[01345789@$!'][^ ]*")
 _TO_LETTERS = str.maketrans(DIGITS)
 _BLOCK = 1 << 20
 
@@ -44,23 +51,17 @@ def fold(text: str) -> str:
     Signs and digits become letters inside words only: one with no letter stays as it is, and
     signs at the end of a word are punctuation.
     """
-    folded = text.translate(_LETTERS) if not text.isascii() else text
-    folded = folded.lower().translate(_BOUND)
-    words = folded.split()
-    if any(c in folded for c in DIGITS):
-        words = [_unmask(w) if not w.isalpha() else w for w in words]
-    return " ".join(words)
-
+    low = text.lower()
+    try:  # no look-alike is below U+0100
+        folded = low.encode("latin-1").translate(_BOUND_BYTES).decode("latin-1")
+    except UnicodeEncodeError:
+        folded = low.translate(_LETTERS).lower().translate(_BOUND)
+    return _MASKED.sub(_unmask, folded)
 
-def _unmask(word: str) -> str:
-    core = word.strip("'!").rstrip("$@")
-    if any(map(str.isalpha, core)):
-        return core.translate(_TO_LETTERS)
-    return core or "-"
 
-
-def folded_words(text: str) -> list[str]:
-    return fold(text).split()
+def _unmask(found: re.Match) -> str:
+    core = found[0].strip("'!").rstrip("$@")
+    return core.translate(_TO_LETTERS) if any(map(str.isalpha, core)) else core
 
 
 def terms_of(words: set[str]) -> set[str]:
@@ -71,14 +72,29 @@ def terms_of(words: set[str]) -> set[str]:
     return found
 
 
+def labelled_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """text, toxic and first (the smallest id of an exact copy of its text and label) of labelled documents.
+
+    ``labels`` has doc_id and toxic; rows with a null are left out. Only hashes of texts are shuffled; so
+    many labels are broadcast as their size allows.
+    """
+    known = labels.select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic")).where("_id is not null and toxic is not null").distinct()
+    few = known.count() <= BROADCAST_ROWS
+    met = lambda table: docs.select("doc_id", "text").join(F.broadcast(table) if few else table, F.col("doc_id") == F.col("_id"))
+    copies = met(known).groupBy(F.xxhash64("text").alias("copy"), "toxic").agg(F.min("doc_id").alias("_id"))
+    firsts = copies.select("_id", "toxic", F.lit(True).alias("first"))
+    marked = stage(known.join(firsts, ["_id", "toxic"], "left").na.fill(False, ["first"]), "labels")
+    return met(marked).select(F.col("text").cast("string").alias("text"), "toxic", "first")
+
+
 def learn_lexicon(labelled: DataFrame, terms: int = TERMS, least: float = LEAST_SHARE) -> list[tuple[str, float]]:
-    """(term, weight) from labelled texts: columns ``text`` and ``toxic``; others are not read.
+    """(term, weight) from ``labelled_texts``.
 
     A term's weight is the log ratio of the smoothed shares of toxic and of other texts that hold it,
     over all distinct labelled texts. Terms of ``LEAST_WEIGHT`` and more in at least the share ``least``
     of the toxic texts are kept, of these the ``terms`` with the most evidence; the lexicon's size is a
-    parameter, so that it fits each task. Counts are summed per batch before the shuffle. Rows with a
-    null label are left out; null texts hold nothing.
+    parameter, so that it fits each task. Counts are summed per batch before the shuffle. Null texts
+    hold nothing.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,13 +103,12 @@ def learn_lexicon(labelled: DataFrame, terms: int = TERMS, least: float = LEAST_
             neg: dict[str, int] = {}
             for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 counts = pos if toxic else neg
-                for term in terms_of(set(folded_words(text or ""))):
+                for term in terms_of(set(fold(text or "").split())):
                     counts[term] = counts.get(term, 0) + 1
             names = list(pos.keys() | neg.keys())
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([pos.get(t, 0) for t in names], pa.int64()), pa.array([neg.get(t, 0) for t in names], pa.int64())], ["term", "pos", "neg"])
 
-    used = labelled.select(F.col("text").cast("string"), F.col("toxic").cast("int")).where("toxic is not null")
-    used = used.withColumn("_copy", F.xxhash64("text")).dropDuplicates(["_copy", "toxic"]).drop("_copy")
+    used = labelled.where("first").select("text", "toxic")
     totals = used.agg(F.count_if(F.col("toxic") == 1).alias("pos"), F.count_if(F.col("toxic") == 0).alias("neg")).first()
     counts = used.mapInArrow(run, "term string, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     n_pos, n_neg = max(totals["pos"], 1), max(totals["neg"], 1)
@@ -129,7 +144,7 @@ def evidence(text: str | None, machine: ahocorasick.Automaton | None) -> tuple[f
             stop = len(text) if cut < 0 else cut
         folded = f" {fold(text[at:stop])} "
         at = stop
-        words += folded.count(" ") - 1
+        words += len(folded.split())
         best: dict[int, float] = {}
         spared: list[tuple[int, int]] = []
         for end, (length, weight) in machine.iter(folded):
@@ -184,14 +199,14 @@ def matched(docs: DataFrame, lexicon: list[tuple[str, float]], exceptions: Seque
     return chosen.mapInArrow(run, schema)
 
 
-def learn(labelled: DataFrame) -> tuple[list[tuple[str, float]], tuple[float, float]]:
-    """The lexicon and the calibration, from columns ``text`` and ``toxic``.
+def learn(docs: DataFrame, labels: DataFrame) -> tuple[list[tuple[str, float]], tuple[float, float]]:
+    """The lexicon and the calibration, from documents and labels (doc_id, toxic) for some of them.
 
     The calibration is fitted to counts of labelled texts per rounded density, over all of them.
     """
+    labelled = labelled_texts(docs, labels)
     lexicon = learn_lexicon(labelled)
-    known = labelled.select("text", F.col("toxic").cast("int").alias("toxic")).where("toxic is not null")
-    seen = matched(known, lexicon, keep=["toxic"]).groupBy(F.round("_density", 2).alias("d"), "toxic").count().collect()
+    seen = matched(labelled, lexicon, keep=["toxic"]).groupBy(F.round("_density", 2).alias("d"), "toxic").count().collect()
     columns = (np.array([r[c] for r in seen], float) for c in ("d", "toxic", "count"))
     return lexicon, fit_scale(*columns)
 
