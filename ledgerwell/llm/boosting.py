@@ -1,17 +1,13 @@
 """Gradient-boosted trees of depth two over integer features, fitted to counted cells.
 
 A cell is a combination of feature values with its number of positives and negatives. The cells of a
-corpus are made by Spark over all its rows; there are as many as combinations, whatever the rows. The
-fitted trees become one DataFrame expression.
+corpus are made by Spark over all its rows; there are as many as combinations, whatever the rows, so
+the fitted trees score the cells, and rows find their score by their cell.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 import numpy as np
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 ROUNDS = 30
 RATE = 0.4
@@ -71,21 +67,6 @@ def scores(model: tuple[float, list], x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-margin))
 
 
-def expression(model: tuple[float, list], features: Sequence[str]) -> Column:
-    """The probability as a column."""
-
-    def column(tree) -> Column:
-        if isinstance(tree, float):
-            return F.lit(tree)
-        (feature, value), left, right = tree
-        return F.when(F.col(features[feature]) <= value, column(left)).otherwise(column(right))
-
-    margin = F.lit(model[0])
-    for tree in model[1]:
-        margin = margin + column(tree)
-    return F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))
-
-
 def threshold(p: np.ndarray, positives: np.ndarray, negatives: np.ndarray, precision: float, least: int) -> float | None:
     """The lowest score at and above which the share of positives, by its lower bound, reaches
     ``precision`` among at least ``least`` rows; None if there is none."""

@@ -75,7 +75,8 @@ def keys_of(hashes: np.ndarray, parts: int, whole: int) -> np.ndarray:
 
     A pair belongs to the band of its larger set; the smaller has at least parts/whole of that size.
     Bands where linked sets are equal have no keys. Words on which no shingle falls would bring
-    unlike sets together. There are ``spare`` words more than needed, so a set with no more empty words
+    unlike sets together. There are ``spare`` words more than needed (enough for the smallest sets of
+    the band, most of the time), so a set with no more empty words
     than that shares a filled word with each of its links, and its empty words give no keys; only where
     both sets of a pair have more can an empty word be all they share.
     """
@@ -86,7 +87,7 @@ def keys_of(hashes: np.ndarray, parts: int, whole: int) -> np.ndarray:
         if n <= high and whole * n >= parts * low:
             allowed = difference(2 * high, parts, whole)
             if allowed:
-                spare, seed = 2 + allowed // 25, 100 + band
+                spare, seed = 3 + 3 * allowed // 10, 100 + band
                 words = allowed + 1 + spare
                 h, xors = mix(hashes, seed), np.zeros(words, np.uint64)
                 at = ((h >> np.uint64(32)) * np.uint64(words) >> np.uint64(32)).astype(np.int64)
@@ -145,7 +146,7 @@ def keys_of(hashes: np.ndarray, parts: int, whole: int) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-_SETS = "doc_id long, n_shingles long, h1 long, h2 long, sketch binary, keys array<long>"
+_SETS = "doc_id long, n_shingles long, h1 long, h2 long, sketch binary"
 
 
 def _distinct(texts: list[str | None], width: int) -> Iterator[np.ndarray]:
@@ -159,35 +160,34 @@ def _name(s: np.ndarray) -> tuple[int, int]:
         return int(mix(s, 11).sum(dtype=np.uint64).astype(np.int64)), int(mix(s, 12).sum(dtype=np.uint64).astype(np.int64))
 
 
-def shingle_sets(docs: DataFrame, width: int, parts: int, whole: int) -> DataFrame:
-    """Per text: set size, the set's 128-bit name, its bit sketch and its bucket keys."""
+def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
+    """Per text: set size, the set's 128-bit name, and its bit sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sizes, names, bits, keys = [], [], [], []
+            sizes, names, bits = [], [], []
             for s in _distinct(b.column(1).to_pylist(), width):
                 sizes.append(len(s))
                 names.append(_name(s))
                 bits.append(bit_sketch(s).tobytes())
-                keys.append(keys_of(s, parts, whole).view(np.int64))
-            ends = np.cumsum([0, *map(len, keys)]).astype(np.int32)
-            flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
-            columns = [b.column(0), pa.array(sizes, pa.int64()), *(pa.array([n[i] for n in names], pa.int64()) for i in (0, 1)), pa.array(bits, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "h1", "h2", "sketch", "keys"])
+            columns = [b.column(0), pa.array(sizes, pa.int64()), *(pa.array([n[i] for n in names], pa.int64()) for i in (0, 1)), pa.array(bits, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "h1", "h2", "sketch"])
 
     chosen = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return chosen.mapInArrow(run, _SETS)
 
 
-def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(dest, node, key) of each batch's bucket members.
+def _gathered(batches: Iterator[pa.RecordBatch], width: int, parts: int, whole: int) -> Iterator[pa.RecordBatch]:
+    """(dest, node, key) of each batch's bucket members, from texts.
 
     Of nodes that share a key in the batch only the least goes to the key's task, and says by a filled
-    ``key`` that it is not alone; the others are known members already and go anywhere.
+    ``key`` that it is not alone; the others are known members already and go anywhere. The keys are made
+    here and not kept with the sets: they would be the largest table of all.
     """
     for b in batches:
-        node = np.repeat(b.column(0).to_numpy(), b.column(1).value_lengths().to_numpy(zero_copy_only=False))
-        key = b.column(1).flatten().to_numpy()
+        made = [(keys_of(s, parts, whole).view(np.int64), _name(s)[0]) for s in _distinct(b.column(0).to_pylist(), width)]
+        key = np.concatenate([k for k, _ in made]) if made else np.zeros(0, np.int64)
+        node = np.repeat(np.array([n for _, n in made], np.int64), [len(k) for k, _ in made]) if made else key
         order = np.lexsort((node, key))
         key, node = key[order], node[order]
         new, again = np.ones(len(key), bool), np.zeros(len(key), bool)
@@ -310,13 +310,14 @@ def _in_blocks(members: DataFrame, counts: DataFrame, group: str, item: str) ->
     return met.withColumn("_pair", F.explode(pairs)).select(*members.columns, "_pair.lo", "_pair.hi")
 
 
-def candidate_edges(sets: DataFrame, parts: int, whole: int) -> DataFrame:
+def candidate_edges(docs: DataFrame, sets: DataFrame, width: int, parts: int, whole: int) -> DataFrame:
     """Edges over set names (h1) between sets that meet in a bucket with sketches near enough.
 
     A key that very many sets share is shuffled once per batch to find out that it is shared. Equal h1
     of unequal sets only makes a candidate group larger.
     """
-    keyed = sets.where(F.size("keys") > 0).select("h1", "keys").mapInArrow(_gathered, "dest long, node long, key long")
+    texts = docs.where("doc_id is not null").select(F.col("text").cast("string"))
+    keyed = texts.mapInArrow(lambda batches: _gathered(batches, width, parts, whole), "dest long, node long, key long")
     met = keyed.repartition("dest").sortWithinPartitions("dest", "node").mapInArrow(_met, "key long, node long")
     met = stage(met, "buckets")
     # Near copies meet in many buckets of the same sets; one of those buckets is enough.
@@ -359,7 +360,7 @@ def _verified(docs: DataFrame, sets: DataFrame, groups: DataFrame, width: int, p
     """Exact links (a, b) over doc ids within each candidate group; a and b stand for their sets."""
     spark = docs.sparkSession
     # One text per distinct set of a candidate group.
-    texts = sets.drop("keys", "sketch").join(groups, sets["h1"] == groups["node"]).groupBy("component", "h1", "h2")
+    texts = sets.drop("sketch").join(groups, sets["h1"] == groups["node"]).groupBy("component", "h1", "h2")
     texts = stage(texts.agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n")).where("doc_id is not null"), "candidates")
     blocks = F.ceil(F.greatest(F.count("*") / F.lit(BLOCK_TEXTS), F.sum("n") / F.lit(BLOCK_SHINGLES))).cast("int")
     large = stage(texts.groupBy("component").agg(blocks.alias("blocks")).where("blocks > 1"), "large-groups")
@@ -402,8 +403,8 @@ def jaccard_groups(docs: DataFrame, width: int = 5, parts: int = 4, whole: int =
     repeat an id are all returned; a null id gets its text's group, or null. Every set is exact up to
     64-bit shingle hashes. No documents give no rows.
     """
-    sets = stage(shingle_sets(docs, width, parts, whole), "sets")
-    groups = components(candidate_edges(sets, parts, whole), "candidate-groups")
+    sets = stage(shingle_sets(docs, width), "sets")
+    groups = components(candidate_edges(docs, sets, width, parts, whole), "candidate-groups")
     links = components(_verified(docs, sets, groups, width, parts, whole), "links")
     narrow = sets.select("doc_id", "n_shingles", "h1", "h2")
     classes = narrow.where("n_shingles > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("_rep"), F.count("*").alias("_n"))

@@ -76,12 +76,11 @@ def _digits(m: Column) -> Column:
 
 
 def luhn(digits: Column) -> Column:
-    """Whether a string of at most 19 digits has the Luhn check sum; the last digit counts once."""
-    total = F.lit(0)
+    """Whether a string of digits has the Luhn check sum; the last digit counts once."""
     back = F.reverse(digits)
-    for i in range(19):
-        d = F.coalesce(F.try_to_number(F.substring(back, i + 1, 1), F.lit("9")).cast("int"), F.lit(0))
-        total = total + (d if i % 2 == 0 else d * 2 - F.when(d > 4, F.lit(9)).otherwise(F.lit(0)))
+    places = F.transform(F.sequence(F.lit(1), F.greatest(F.length(back), F.lit(1))), lambda i: F.struct(i.alias("i"), (F.ascii(back.substr(i, F.lit(1))) - 48).alias("d")))
+    doubled = lambda x: x["d"] * 2 - F.when(x["d"] > 4, F.lit(9)).otherwise(F.lit(0))
+    total = F.aggregate(places, F.lit(0), lambda acc, x: acc + F.when(x["i"] % 2 == 1, x["d"]).otherwise(doubled(x)))
     return total % 10 == 0
 
 
@@ -149,8 +148,8 @@ def candidates(matches: DataFrame) -> DataFrame:
     )
 
 
-def learn(labelled: DataFrame, precision: float = PRECISION) -> tuple[tuple[float, list], list[float | None]]:
-    """Trees, and per kind the calibrated threshold, from candidates with a ``label``.
+def learn(labelled: DataFrame, precision: float = PRECISION) -> tuple[list[tuple], list[float | None]]:
+    """Each cell's features with its score, and per kind the calibrated threshold, from labelled candidates.
 
     All candidates count; half of the documents grow the trees, the other half set the thresholds. A
     kind whose candidates never reach the precision has none. The cells are bounded by the features.
@@ -166,7 +165,7 @@ def learn(labelled: DataFrame, precision: float = PRECISION) -> tuple[tuple[floa
     for kind in range(len(KINDS)):
         own = ~grow & (x[:, 0] == kind)
         limits.append(boosting.threshold(p[own], pos[own], neg[own], precision, LEAST_SEEN))
-    return model, limits
+    return [(*map(int, row), float(score)) for row, score in zip(x, p, strict=True)], limits
 
 
 def find_spans(docs: DataFrame, precision: float = PRECISION) -> DataFrame:
@@ -183,9 +182,11 @@ def find_spans(docs: DataFrame, precision: float = PRECISION) -> DataFrame:
     accepted = base.select("doc_id", "_key", "kind", "start", "end").withColumn("label", F.lit(1))
     on = ["_key", "kind", "start", "end"]
     labelled = stage(proposed.join(accepted.drop("doc_id").distinct(), on, "left").na.fill(0, ["label"]), "proposed")
-    model, limits = learn(labelled, precision)
+    cells, limits = learn(labelled, precision)
+    # One row per combination of feature values; every candidate's is among them.
+    table = docs.sparkSession.createDataFrame(cells, ", ".join(f"{f} int" for f in FEATURES) + ", p double")
     limit = F.element_at(F.array(*[F.lit(x if x is not None else 2.0) for x in limits]), F.col("f_kind") + 1)
-    good = labelled.withColumn("p", boosting.expression(model, FEATURES)).where(F.col("p") >= limit)
+    good = labelled.join(F.broadcast(table), list(FEATURES)).where(F.col("p") >= limit)
     # A base span meets a candidate if it reaches beyond its start, or begins before its end.
     all_rows = base.select("doc_id", "_key", "start", "end", "kind", F.lit(0).alias("added")).unionByName(good.select("doc_id", "_key", "start", "end", "kind", "p", "run", "i", "k", F.lit(1).alias("added")), allowMissingColumns=True)
     doc = Window.partitionBy("doc_id", "_key")
@@ -201,7 +202,7 @@ def find_spans(docs: DataFrame, precision: float = PRECISION) -> DataFrame:
     others = free.where(~own).withColumn("_rank", rank).withColumn("_near", F.collect_list("_rank").over(near))
     beaten = F.exists("_near", lambda o: (o > F.col("_rank")) & (-o["s"] < F.col("end")) & (o["end"] > F.col("start")))
     columns = ["doc_id", "_key", "kind", "start", "end"]
-    added = others.where(~beaten).select(*columns, F.lit(False).alias("base"))
+    added = others.where(~beaten).select(*columns, F.lit(False).alias("base")).distinct()
     return base.select(*columns, F.lit(True).alias("base")).union(added)
 
 

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from ledgerwell.llm.shared import WORD, crc32_of_id, stage
 
 BUCKETS = 1 << 16
-SMOOTHING = 1.0
+# The raw corpus counts in the target with this share of the target's own weight.
+PRIOR = 0.25
 # The threshold lets this share of trusted documents fall below it.
 TRUSTED_BELOW = 0.002
 LEAST_WORDS = 20
@@ -47,7 +48,8 @@ def ratio_weights(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     """One row with ``weights``: per bucket the log ratio of trusted-target to raw-corpus probability.
 
     The multinomials cover unigrams and bigrams of all documents, and of those whose doc_id is in
-    ``trusted``; both are smoothed. Counts are summed before the shuffle, by bucket: words that are
+    ``trusted``; the target is smoothed by the raw corpus, so that what it lacks tells against a text but
+    no single n-gram decides. Counts are summed before the shuffle, by bucket: words that are
     very frequent cost no more than others.
     """
     ids = trusted.select(F.col("doc_id").alias("_id")).where("_id is not null").distinct()
@@ -60,8 +62,9 @@ def ratio_weights(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     counts = stage(counts, "bucket-counts")
     every = counts.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket")).join(counts, "bucket", "left").na.fill(0)
     total = counts.agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).first()
-    share = lambda n, of: F.log((F.col(n) + F.lit(SMOOTHING)) / F.lit((of or 0) + SMOOTHING * BUCKETS))
-    weight = share("target", total["target"]) - share("raw", total["raw"])
+    raw = (F.col("raw") + F.lit(1.0)) / F.lit((total["raw"] or 0) + float(BUCKETS))
+    seen = F.col("target") / F.lit(float(max(total["target"] or 0, 1)))
+    weight = F.log((seen / raw + F.lit(PRIOR)) / F.lit(1.0 + PRIOR))
     # As many rows as there are buckets.
     pairs = F.array_sort(F.collect_list(F.struct("bucket", weight.alias("w"))))
     return every.agg(F.transform(pairs, lambda p: p["w"]).alias("weights"))
