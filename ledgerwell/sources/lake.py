@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from datetime import date
 
@@ -100,32 +101,37 @@ class Lake:
     def overwrite_days(self, name: str, df: DataFrame, start: str | date, end: str | date) -> int:
         """Replace all days ``start..end`` of a table partitioned by one date column.
 
-        Days of the window without rows in ``df`` end up empty. The days that were written are
-        collected by a bitmap metric of the same pass: one bit per day of the window.
+        Days of the window without rows in ``df`` end up empty, however long the window is: a day that
+        still holds a file from before was not written now, and its partition is removed. Only file
+        names are listed; no rows are read for it.
         """
         day_column = TABLES[name].partitioned_by[0]
         start, end = as_date(start), as_date(end)
-        window = self._conformed(name, df).where(in_days(day_column, start, end))
-        old_days = {
-            row[0]
-            for row in self.read(name).where(in_days(day_column, start, end)).select(day_column).distinct().collect()
-        }
-        offset = F.date_diff(F.col(day_column), F.lit(start))
-        seen = Observation()
-        counted = self._clustered(name, window).observe(
-            seen,
-            F.count(F.lit(1)).alias("rows"),
-            F.bitmap_construct_agg(F.bitmap_bit_position(offset + 1)).alias("days"),
-        )
+        before = self._files_of_days(name, start, end)
+        counted, seen = self._counted(self._clustered(name, self._conformed(name, df).where(in_days(day_column, start, end))))
         self._overwrite_present(name, counted)
-        bits = int.from_bytes(seen.get["days"] or b"", "little")
-        for day in old_days:
-            if not bits >> (day - start).days & 1:
-                self.overwrite_partition(
-                    name, self.spark.createDataFrame([], TABLES[name].schema), {day_column: day.isoformat()}
-                )
+        stale = {before[file] for file in self._files_of_days(name, start, end).keys() & before.keys()}
+        self._remove([self._partition_path(name, {day_column: day.isoformat()}) for day in sorted(stale)])
         return seen.get["rows"]
 
+    def _files_of_days(self, name: str, start: date, end: date) -> dict[str, date]:
+        """The stored files of the days ``start..end``, by path."""
+        day_of = re.compile(rf"/{TABLES[name].partitioned_by[0]}=(\d{{4}}-\d\d-\d\d)/")
+        try:
+            files = self.spark.read.schema(TABLES[name].schema).parquet(self.path(name)).inputFiles()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return {}
+        days = {file: date.fromisoformat(m[1]) for file in files if (m := day_of.search(file))}
+        return {file: day for file, day in days.items() if start <= day <= end}
+
+    def _remove(self, paths: list[str]) -> None:
+        """Remove partition folders; a matter of the file system, without a Spark job."""
+        for path in paths:
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
     def _overwrite_present(self, name: str, df: DataFrame) -> None:
         self._writer(name, df).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(self.path(name))
 

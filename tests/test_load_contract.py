@@ -94,6 +94,16 @@ def test_cube_windows_do_not_count_twice(lake, spark):
     assert lake.read(jobs.CUBE).count() == 1
 
 
+def test_days_of_a_window_longer_than_a_bitmap(spark, lake):
+    """Both days are stored; the window is replaced by the late one alone, then by the early one."""
+    early, late = ("1950-01-01", -631152000, 1, 1.0), ("2039-09-19", 2200003200, 2, 1.0)
+    window = ("1950-01-01", "2039-09-19")
+    for rows in ([early, late], [late], [early], []):
+        cells = hourly_cube(fact_of(spark, rows), *window)
+        assert lake.overwrite_days(jobs.CUBE, cells, *window) == len(rows)
+        assert {r.event_date.isoformat() for r in lake.read(jobs.CUBE).collect()} == {r[0] for r in rows}
+
+
 def test_unknowns_in_the_cube(spark):
     cell = hourly_cube(fact_of(spark, [("2026-04-27", 1777248000, None, None)]), "2026-04-27", "2026-04-27").first()
     assert (cell.currency, cell.user_segment, cell.cancellation_reason) == ("unknown", "unknown", "")
