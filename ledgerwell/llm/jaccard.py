@@ -98,54 +98,6 @@ def keys_of(hashes: np.ndarray, parts: int, whole: int) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-_SETS = 4000
-BLOCK_TEXTS = 2000
-BLOCK_SHINGLES = 1_000_000
-# A table of so many narrow rows is broadcast; a larger one is joined by shuffle.
-BROADCAST_ROWS = 500_000
-
-
-def difference(sizes: int, parts: int, whole: int) -> int:
-    """How many shingles two sets of ``sizes`` in all may not share at a similarity of parts/whole."""
-    return sizes * (whole - parts) // (whole + parts)
-
-
-@functools.cache
-def size_bands(largest: int) -> list[int]:
-    """First size of each band, past ``largest``."""
-    bands = [1]
-    while bands[-1] <= largest:
-        bands.append(max(bands[-1] + 1, int(bands[-1] * GROWTH)))
-    return bands
-
-
-def sketch(hashes: np.ndarray, words: int, seed: int) -> np.ndarray:
-    """Parity sketch of ``words`` 64-bit words: shingles fall on a word and on a bit of it."""
-    h = mix(hashes, seed)
-    out = np.zeros(words, np.uint64)
-    np.bitwise_xor.at(out, ((h >> np.uint64(32)) * np.uint64(words) >> np.uint64(32)).astype(np.int64), np.uint64(1) << (h & np.uint64(63)))
-    return out
-
-
-def keys_of(hashes: np.ndarray, parts: int, whole: int) -> np.ndarray:
-    """One key per sketch word, in each band where the set may be either side of a link.
-
-    A pair belongs to the band of its larger set; the smaller has at least parts/whole of that size.
-    Bands where linked sets are equal have no keys.
-    """
-    n, out = len(hashes), []
-    bands = size_bands(n * whole // parts)
-    for band in range(len(bands) - 1):
-        low, high = bands[band], bands[band + 1] - 1
-        if n <= high and whole * n >= parts * low:
-            allowed = difference(2 * high, parts, whole)
-            if allowed:
-                seed = 100 + band
-                words = sketch(hashes, allowed + 1, seed)
-                out.append(mix(words ^ mix(np.arange(allowed + 1, dtype=np.uint64), seed), seed))
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
-
-
 _SETS = "doc_id long, n_shingles long, h1 long, h2 long, sketch binary"
 
 
