@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ledgerwell.llm.components import components
 from ledgerwell.llm.hashing import mix, shingles, word_hashes
-from ledgerwell.llm.shared import stage
+from ledgerwell.llm.shared import lean, stage
 
 # Size bands: each reaches GROWTH times as far as the one before.
 GROWTH = 1.6
@@ -126,7 +126,7 @@ def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "h1", "h2", "sketch"])
 
     chosen = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return chosen.mapInArrow(run, _SETS)
+    return chosen.mapInArrow(lean(run), _SETS)
 
 
 def _gathered(batches: Iterator[pa.RecordBatch], width: int, parts: int, whole: int) -> Iterator[pa.RecordBatch]:
@@ -269,8 +269,8 @@ def candidate_edges(docs: DataFrame, sets: DataFrame, width: int, parts: int, wh
     of unequal sets only makes a candidate group larger.
     """
     texts = docs.where("doc_id is not null").select(F.col("text").cast("string"))
-    keyed = texts.mapInArrow(lambda batches: _gathered(batches, width, parts, whole), "dest long, node long, key long")
-    met = keyed.repartition("dest").sortWithinPartitions("dest", "node").mapInArrow(_met, "key long, node long")
+    keyed = texts.mapInArrow(lean(lambda batches: _gathered(batches, width, parts, whole)), "dest long, node long, key long")
+    met = keyed.repartition("dest").sortWithinPartitions("dest", "node").mapInArrow(lean(_met), "key long, node long")
     met = stage(met, "buckets")
     # Near copies meet in many buckets of the same sets; one of those buckets is enough.
     named = met.groupBy("key").agg(F.bit_xor(F.xxhash64("node")).alias("bucket"))
@@ -282,7 +282,7 @@ def candidate_edges(docs: DataFrame, sets: DataFrame, width: int, parts: int, wh
     dealt = _in_blocks(met, large, "bucket", "node").join(sketches, F.col("node") == F.col("h1"))
     group = ["bucket", "lo", "hi"]
     rows = dealt.select(*group, "node", "n_shingles", "sketch").repartition(*group).sortWithinPartitions(*group, "node")
-    return rows.mapInArrow(lambda batches: _near(batches, parts, whole), "a long, b long").distinct()
+    return rows.mapInArrow(lean(lambda batches: _near(batches, parts, whole)), "a long, b long").distinct()
 
 
 def _links(ids: list[int], sets: list[np.ndarray], parts: int, whole: int) -> list[tuple[int, int]]:
@@ -343,7 +343,7 @@ def _verified(docs: DataFrame, sets: DataFrame, groups: DataFrame, width: int, p
 
     group = ["component", "lo", "hi"]
     spread = with_text.select(*group, "doc_id", "h1", "h2", "text").repartition(*group).sortWithinPartitions(*group, "doc_id")
-    return spread.mapInArrow(run, "a long, b long")
+    return spread.mapInArrow(lean(run), "a long, b long")
 
 
 def jaccard_groups(docs: DataFrame, width: int = 5, parts: int = 4, whole: int = 5) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwell.llm.ranking import RANK, TASK, ranked
-from ledgerwell.llm.shared import stage
+from ledgerwell.llm.shared import lean, stage
 from ledgerwell.llm.tokens import ChunkEncoder
 
 CAPACITY = 2048
@@ -55,7 +55,7 @@ def encode_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, *,
             yield pa.RecordBatch.from_arrays(arrays, names)
 
     chosen = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return chosen.mapInArrow(run, _PIECES + (", ids array<int>" if ids else ""))
+    return chosen.mapInArrow(lean(run), _PIECES + (", ids array<int>" if ids else ""))
 
 
 def plan_bins(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[list[int], int]]:

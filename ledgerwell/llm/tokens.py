@@ -59,7 +59,8 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         # For words that are already what the file's normalizer and patterns would make of them.
-        self.plain = Tokenizer.from_file(path)
+        # It shares the model, the larger part of a tokenizer's memory.
+        self.plain = Tokenizer(self.tokenizer.model)
         self.plain.normalizer = normalizers.Sequence([])
         self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerwell.llm.shared import stage
+from ledgerwell.llm.shared import lean, stage
 
 # Characters that stand for Latin letters. Cyrillic and Greek look-alikes, then digits and signs.
 HOMOGLYPHS = {
@@ -110,7 +110,7 @@ def learn_lexicon(labelled: DataFrame, terms: int = TERMS, least: float = LEAST_
 
     used = labelled.where("first").select("text", "toxic")
     totals = used.agg(F.count_if(F.col("toxic") == 1).alias("pos"), F.count_if(F.col("toxic") == 0).alias("neg")).first()
-    counts = used.mapInArrow(run, "term string, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    counts = used.mapInArrow(lean(run), "term string, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     n_pos, n_neg = max(totals["pos"], 1), max(totals["neg"], 1)
     weight = F.log((F.col("pos") + 0.5) / F.lit(n_pos + 1.0)) - F.log((F.col("neg") + 0.5) / F.lit(n_neg + 1.0))
     kept = counts.where(F.col("pos") >= max(3, least * n_pos)).withColumn("weight", weight).where(F.col("weight") >= LEAST_WEIGHT)
@@ -196,7 +196,7 @@ def matched(docs: DataFrame, lexicon: list[tuple[str, float]], exceptions: Seque
     schema = docs.select(*keep).schema
     for name, kind in (("_words", "long"), ("_evidence", "double"), ("_density", "double")):
         schema = schema.add(name, kind)
-    return chosen.mapInArrow(run, schema)
+    return chosen.mapInArrow(lean(run), schema)
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> tuple[list[tuple[str, float]], tuple[float, float]]:
