@@ -63,6 +63,17 @@ def write_event(lake: Lake, event: LoadEvent) -> None:
     lake.append(AUDIT_TABLE, lake.spark.createDataFrame([event.row()], TABLES[AUDIT_TABLE].schema))
 
 
+def write_failure(lake: Lake, event: LoadEvent, message: str) -> None:
+    """Record that a load failed; if even that fails, it is only logged: the load's own error matters more."""
+    event.status = "failed"
+    event.finished_at = _now()
+    event.error_message = message[:ERROR_LENGTH]
+    try:
+        write_event(lake, event)
+    except Exception as audit_error:
+        log.warning("audit event not written: %s", audit_error)
+
+
 @contextmanager
 def audited(lake: Lake, event: LoadEvent, *, keep_counts_on_failure: bool = False) -> Iterator[LoadEvent]:
     """Run a load and record how it ended. The error of a failed load is raised again; an audit
@@ -72,18 +83,9 @@ def audited(lake: Lake, event: LoadEvent, *, keep_counts_on_failure: bool = Fals
         event.finished_at = _now()
         write_event(lake, event)
     except Exception as error:
-        event.status = "failed"
-        event.finished_at = _now()
-        if keep_counts_on_failure:
-            message = str(error)
-        else:
-            message = traceback.format_exc()
+        if not keep_counts_on_failure:
             event.rows_read = event.rows_written = None
-        event.error_message = message[:ERROR_LENGTH]
-        try:
-            write_event(lake, event)
-        except Exception as audit_error:  # the load error matters more
-            log.warning("audit event not written: %s", audit_error)
+        write_failure(lake, event, str(error) if keep_counts_on_failure else traceback.format_exc())
         raise
 
 

@@ -217,6 +217,7 @@ def export_cube(
         "export_cube", "transactions_cube_hourly", CUBE, "cube_window", start, end, run_id
     )
     with audited(lake, event, keep_counts_on_failure=True):
+        lake.ensure(CUBE)
         event.rows_written = lake.overwrite_days(CUBE, hourly_cube(lake.read(FACT), start, end), start, end)
         cube = lake.read(CUBE).where(F.col("event_date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
         event.rows_read = cube.agg(F.sum("transactions_count")).first()[0] or 0

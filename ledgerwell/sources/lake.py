@@ -55,16 +55,9 @@ class Lake:
         return published
 
     def read(self, name: str) -> DataFrame:
-        """The stored table; one that was never written is created empty."""
-        reader = self.spark.read.schema(TABLES[name].schema)
-        try:
-            stored = reader.parquet(self.path(name))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            self.ensure(name)
-            stored = reader.parquet(self.path(name))
-        return stored.select(*TABLES[name].schema.names)
+        """The stored table; one that was never written is an error (PATH_NOT_FOUND), and nothing is created."""
+        names = TABLES[name].schema.names
+        return self.spark.read.schema(TABLES[name].schema).parquet(self.path(name)).select(*names)
 
     def replace(self, name: str, df: DataFrame) -> int:
         """Replace the whole table by ``df``; returns the number of rows written."""

@@ -1,13 +1,16 @@
-"""New slot files as a stream: each file is parsed once and lands in its own partition."""
+"""New slot files as a stream: the slots they belong to are loaded anew from all of their files."""
 
 from __future__ import annotations
 
+import traceback
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerwell.operators.silver import clean_transactions
-from ledgerwell.plans.audit import AUDIT_TABLE
+from ledgerwell.plans.audit import AUDIT_TABLE, LoadEvent, write_failure
 from ledgerwell.plans.jobs import TRANSACTIONS
 from ledgerwell.schemas import RAW_TRANSACTIONS
 from ledgerwell.sources import jsonl
@@ -29,6 +32,10 @@ def transaction_stream(
         .option("recursiveFileLookup", "true")
         .json(f"{raw_root}/transactions")
     )
+    return _with_slot(lines, bucket)
+
+
+def _with_slot(lines: DataFrame, bucket: str) -> DataFrame:
     file = F.col("_metadata.file_path")
     found = lines.select(*RAW_TRANSACTIONS.names, file.alias("source_file"))
     return jsonl.with_origin(
@@ -51,18 +58,47 @@ def ingest_transactions(
 ) -> StreamingQuery:
     """Load every slot file not seen before, then stop; run it again for what arrived meanwhile.
 
-    A batch replaces the partitions of its files, so a batch that is repeated after a failure
-    changes nothing. Audit events, one per partition, are derived from the written rows.
+    A slot may have several files, which may arrive in different batches: the slots of a batch's new
+    files are read anew with all their files and replaced, so no file is lost, and a batch that is
+    repeated after a failure changes nothing. Audit events, one per new file, are derived from the
+    written rows; a batch that fails leaves one ``failed`` event, and the stream ends with its error.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
+        try:
+            load_slots(batch, batch_id)
+        except Exception:
+            event = LoadEvent(
+                run_id=f"{JOB_NAME}-{batch_id}",
+                job_name=JOB_NAME,
+                source_name="transactions",
+                target_table=TRANSACTIONS,
+                raw_object_path="transactions",
+                source_url=f"{raw_root}/transactions",
+                raw_bucket=bucket,
+            )
+            write_failure(lake, event, traceback.format_exc())
+            raise
+
+    def load_slots(batch: DataFrame, batch_id: int) -> None:
         started = F.current_timestamp()
         keys = ["file_date", "slot", "raw_object_path"]
-        files = batch.select(*keys).distinct().persist()
-        lake.overwrite_partitions(TRANSACTIONS, clean_transactions(batch))
+        files = batch.select(*keys, F.regexp_extract("source_file", "^(.*/slot=[^/]+)/", 1).alias("folder")).distinct().persist()
+        # At most as many folders as a batch has files.
+        folders = sorted(unquote(r.folder) for r in files.select("folder").distinct().collect())
+        if not folders:
+            files.unpersist()
+            return
+        lines = (
+            lake.spark.read.schema(RAW_TRANSACTIONS)
+            .option("pathGlobFilter", file_glob)
+            .option("recursiveFileLookup", "true")
+            .json(folders)
+        )
+        lake.overwrite_partitions(TRANSACTIONS, clean_transactions(_with_slot(lines, bucket)))
         counts = (
             lake.read(TRANSACTIONS)
-            .join(F.broadcast(files.select("file_date", "slot")), ["file_date", "slot"], "left_semi")
+            .join(F.broadcast(files.select(*keys)), keys, "left_semi")
             .groupBy(*keys)
             .agg(F.count(F.lit(1)).alias("rows_read"))
         )

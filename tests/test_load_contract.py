@@ -54,7 +54,20 @@ def test_missing_file_is_audited_and_raised(lake, tmp_path):
 
 def test_missing_rates_may_be_no_error(lake, tmp_path):
     assert jobs.load_rates(lake, str(tmp_path / "raw"), DAY, missing_ok=True) is None
-    assert lake.read(AUDIT_TABLE).count() == 0
+    assert not os.path.exists(lake.path(AUDIT_TABLE))
+
+
+def test_a_missing_source_table_is_an_error(lake, tmp_path):
+    root = str(tmp_path / "raw")
+    land(root)
+    jobs.load_transactions(lake, root, DAY, "11-40")
+    jobs.load_dictionaries(lake, root)
+    jobs.load_cancellations(lake, root, DAY)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        jobs.build_fact(lake, DAY, DAY, run_id="r")
+    (event,) = lake.read(AUDIT_TABLE).where("run_id = 'r'").collect()
+    assert (event.status, event.rows_written) == ("failed", None)
+    assert not os.path.exists(lake.path(jobs.INTERVALS)) and not os.path.exists(lake.path(jobs.FACT))
 
 
 def test_ensure_keeps_an_existing_table(lake, spark):
@@ -155,6 +168,39 @@ def test_stream_loads_new_files_once(lake, tmp_path):
     assert missing.count() == 142
 
 
+def test_stream_keeps_every_file_of_a_slot(lake, tmp_path):
+    """Files of one slot in batches of one file, then one more in a later run; a replay changes nothing."""
+    root, progress = str(tmp_path / "raw files"), str(tmp_path / "progress")
+    all_rows = as_dicts(TRANSACTION_FIELDS, TRANSACTIONS)
+    folder = f"{root}/transactions/day={DAY}/slot=11-40"
+    for nth in range(3):
+        write_lines(f"{folder}/part-{nth}.jsonl", all_rows[nth : nth + 1])
+    files = {"files_per_batch": 1, "file_glob": "*.jsonl"}
+    ingest_transactions(lake, root, progress, **files).awaitTermination()
+    assert [i for _, i in ids(lake)] == ["101", "102", "103"]
+    write_lines(f"{folder}/part-3.jsonl", all_rows[:1])
+    ingest_transactions(lake, root, progress, **files).awaitTermination()
+    assert [i for _, i in ids(lake)] == ["101", "101", "102", "103"]
+    events = lake.read(AUDIT_TABLE).groupBy("raw_object_path").agg(F.sum("rows_written").alias("n")).collect()
+    assert sorted(e.n for e in events) == [1, 1, 1, 1]
+    ingest_transactions(lake, root, str(tmp_path / "again"), **files).awaitTermination()
+    assert [i for _, i in ids(lake)] == ["101", "101", "102", "103"]
+
+
+def test_a_failed_batch_is_audited_and_raised(lake, tmp_path, monkeypatch):
+    root = str(tmp_path / "raw")
+    write_lines(tx_path(root, DAY, "11-40"), as_dicts(TRANSACTION_FIELDS, TRANSACTIONS))
+
+    def broken(name, df):
+        raise OSError("no space")
+
+    monkeypatch.setattr(lake, "overwrite_partitions", broken)
+    with pytest.raises(Exception, match="no space"):
+        ingest_transactions(lake, root, str(tmp_path / "progress")).awaitTermination()
+    (event,) = lake.read(AUDIT_TABLE).collect()
+    assert event.status == "failed" and "no space" in event.error_message
+
+
 def test_late_cancellation_names_its_file_date(lake, tmp_path, spark):
     root = str(tmp_path / "raw")
     land(root)
@@ -175,6 +221,8 @@ def test_reading_a_window_prunes_partitions(lake, tmp_path):
     land(root)
     jobs.load_transactions(lake, root, DAY, "11-40")
     jobs.load_rates(lake, root, DAY)
+    jobs.load_dictionaries(lake, root)
+    jobs.load_cancellations(lake, root, DAY)
     jobs.build_rate_intervals(lake, DAY, DAY)
     plan = jobs.fact_of(lake, DAY, DAY)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(file_date" in plan or "PartitionFilters: [(file_date" in plan
