@@ -355,7 +355,7 @@ def q20_missing_partitions(spark, sf_dir):
 
 @query
 def q21_file_stream_ingest(spark, sf_dir):
-    """Events are landed as slot files and streamed into the silver table."""
+    """Events are landed as several files per slot and streamed into the silver table; batches cut through slots."""
     lake = scratch_lake(spark)
     root = f"{lake.root}-raw"
     fields = [F.col(name) for name in roles.TRANSACTION_TEXTS]
@@ -366,11 +366,11 @@ def q21_file_stream_ingest(spark, sf_dir):
             F.col("file_date").alias("day"),
             F.concat(F.substring("slot", 1, 1), F.lit("0-00")).alias("slot"),
         )
-        .repartition("day", "slot")
+        .repartition("day", "slot", F.pmod(F.xxhash64("value"), F.lit(3)))
         .write.partitionBy("day", "slot")
         .text(f"{root}/transactions")
     )
-    ingest_transactions(lake, root, f"{root}/progress", file_glob="*.txt").awaitTermination()
+    ingest_transactions(lake, root, f"{root}/progress", files_per_batch=50, file_glob="*.txt").awaitTermination()
     return shown(
         lake.read(jobs.TRANSACTIONS),
         "file_date", "slot", "transaction_id_raw", "transaction_id", "amount", "created_at", "validation_errors",
