@@ -26,6 +26,8 @@ PATTERNS = {
 # High recall: runs of digits with separators, and addresses with a written-out "at".
 RUN = r"[+(]?[0-9](?:[\x20().-]{0,3}[0-9]){6,}+"
 MASKED = r"[A-Za-z0-9._%+-]{1,64}\x20?[\[({]\x20?[Aa][Tt]\x20?[\])}]\x20?[A-Za-z0-9-]{1,63}(?:\x20?(?:\.|[\[({]\x20?[Dd][Oo][Tt]\x20?[\])}])\x20?[A-Za-z0-9-]{1,63}){1,8}"
+AT = r"\x20?[\[({]\x20?[Aa][Tt]\x20?[\])}]\x20?"
+DOT = r"\x20?(?:\.|[\[({]\x20?[Dd][Oo][Tt]\x20?[\])}])\x20?"
 CUES = r"(?i)(mail|phone|tel|call|fax|mobile|card|visa|credit|host|server|address|contact)"
 PIECES = 5
 FEATURES = ("f_kind", "f_digits", "f_groups", "f_plus", "f_check", "f_before", "f_after", "f_cue")
@@ -111,8 +113,9 @@ def candidates(matches: DataFrame) -> DataFrame:
     """All spans that the generators propose, with a kind and features; they overlap.
 
     A run proposes each series of up to ``PIECES`` of its blank-separated pieces, as every kind that its
-    digits allow; a written-out address proposes itself. ``label`` tells whether the rules accept just
-    this span; the features do not look at the rules' own extent.
+    digits allow; a written-out address proposes itself. ``label`` is 1 if the e-mail rule accepts just
+    a written-out address once its signs are undone; whether the rules accept a run's span, they tell
+    themselves. The features do not look at the rules' own extent.
     """
     runs = matches.where("kind in ('run', 'masked')").withColumn("_pieces", F.when(F.col("kind") == "run", F.split("m", " ")).otherwise(F.array("m")))
     # The place of each piece: pieces and one blank each before it.
@@ -123,9 +126,11 @@ def candidates(matches: DataFrame) -> DataFrame:
     piece = piece.withColumn("left", F.lag("piece").over(along)).withColumn("next", F.collect_list("piece").over(along.rowsBetween(0, PIECES)))
     series = F.transform(F.sequence(F.lit(1), F.least(F.lit(PIECES), F.size("next"))), lambda k: F.struct(F.array_join(F.slice("next", F.lit(1), k), " ").alias("m"), k.alias("k"), F.get(F.col("next"), k).alias("right")))
     spans = piece.withColumn("s", F.explode(series)).select("doc_id", "_key", "run", "kind", "i", "n", "start", "left", "pre", "post", "s.*")
-    # Borders that belong to no number: outer signs.
-    lead = F.regexp_extract("m", r"^[).\-]+", 0)
-    spans = spans.withColumn("start", F.col("start") + F.length(lead)).withColumn("m", F.regexp_replace(F.expr("substring(m, length(regexp_extract(m, '^[).-]+', 0)) + 1)"), r"[(.\-]+$", ""))
+    # Borders that belong to no number: outer signs. In an address they are part of its names.
+    is_run = F.col("kind") == "run"
+    lead = F.when(is_run, F.regexp_extract("m", r"^[).\-]+", 0)).otherwise(F.lit(""))
+    bare = F.regexp_replace(F.expr("substring(m, length(regexp_extract(m, '^[).-]+', 0)) + 1)"), r"[(.\-]+$", "")
+    spans = spans.withColumn("start", F.col("start") + F.length(lead)).withColumn("m", F.when(is_run, bare).otherwise(F.col("m")))
     digits = _digits(F.col("m"))
     spans = spans.withColumn("_d", digits).withColumn("_n", F.length("_d"))
     kinds = F.array(
@@ -136,6 +141,9 @@ def candidates(matches: DataFrame) -> DataFrame:
     )
     spans = spans.select("*", F.explode(F.filter(kinds, lambda x: x.isNotNull())).alias("f_kind"))
     check = F.when(F.col("f_kind") == 1, _octets(F.col("m"))).when(F.col("f_kind") == 2, F.col("_n").between(14, 19) & luhn(F.when(F.col("_n") <= 19, F.col("_d")))).when(F.col("f_kind") == 3, F.col("_n").between(10, 15)).otherwise(F.lit(True))
+    plain = F.regexp_replace(F.regexp_replace("m", AT, "@"), DOT, ".")
+    around = F.concat(F.right("pre", F.lit(1)), plain, F.coalesce("post", F.lit("")))
+    label = F.when(F.col("f_kind") == 0, F.regexp_extract(around, PATTERNS["email"], 0) == plain).otherwise(F.lit(False))
     before = F.when(F.col("left").isNotNull(), F.lit(2)).otherwise(_sort_of(F.right("pre", F.lit(1))))
     after = F.when(F.col("right").isNotNull(), F.lit(2)).otherwise(_sort_of(F.coalesce("post", F.lit(""))))
     return spans.select(
@@ -144,7 +152,7 @@ def candidates(matches: DataFrame) -> DataFrame:
         F.least(F.size(F.split("m", r"[^0-9]+")), F.lit(9)).alias("f_groups"),
         F.when(F.col("kind") == "masked", 0).otherwise(F.col("m").startswith("+").cast("int")).alias("f_plus"),
         F.coalesce(check, F.lit(False)).cast("int").alias("f_check"), before.alias("f_before"), after.alias("f_after"),
-        F.col("pre").rlike(CUES).cast("int").alias("f_cue"),
+        F.col("pre").rlike(CUES).cast("int").alias("f_cue"), label.cast("int").alias("label"),
     )
 
 
@@ -179,9 +187,10 @@ def find_spans(docs: DataFrame, precision: float = PRECISION) -> DataFrame:
     base = matches.where(F.col("kind").isin(*KINDS) & base_valid()).select("doc_id", "_key", "kind", "start", "end")
     names = F.array(*[F.lit(k) for k in KINDS])
     proposed = candidates(matches).withColumn("kind", F.element_at(names, F.col("f_kind") + 1))
-    accepted = base.select("doc_id", "_key", "kind", "start", "end").withColumn("label", F.lit(1))
+    accepted = base.select("_key", "kind", "start", "end").distinct().withColumn("_base", F.lit(1))
     on = ["_key", "kind", "start", "end"]
-    labelled = stage(proposed.join(accepted.drop("doc_id").distinct(), on, "left").na.fill(0, ["label"]), "proposed")
+    met = proposed.join(accepted, on, "left").withColumn("label", F.greatest("label", F.coalesce("_base", F.lit(0))))
+    labelled = stage(met.drop("_base"), "proposed")
     cells, limits = learn(labelled, precision)
     # One row per combination of feature values; every candidate's is among them.
     table = docs.sparkSession.createDataFrame(cells, ", ".join(f"{f} int" for f in FEATURES) + ", p double")

@@ -267,6 +267,17 @@ def test_pii_base_and_redaction(spark, empty):
     assert pii.digests(empty).count() == 0
 
 
+def test_pii_adds_masked_addresses(spark):
+    prepared(spark)
+    rows = [(i, f"ask user{i} [at] mail{i} (dot) com, please") for i in range(300)] + [(300, "to john [at] mail [dot] com"), (301, "é -a.b-(at)c-.d e"), (302, "meet (at) noon")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in pii.digests(frame).collect()}
+    assert got[300]["spans"] == "email:3:27" and got[300]["n_email"] == 0 and got[300]["n_added"] == 1
+    assert got[301]["spans"] == "email:2:15" and got[302]["spans"] == ""
+    redacted = {r["doc_id"]: r["text"] for r in pii.redact(frame).collect()}
+    assert redacted[300] == "to [EMAIL]" and redacted[7] == "ask [EMAIL], please" and redacted[301] == "é [EMAIL] e"
+
+
 def test_boosting_learns_an_interaction():
     x = np.array([[a, b] for a in range(2) for b in range(2)])
     pos, neg = np.array([1.0, 95, 80, 1]), np.array([99.0, 5, 20, 99])
