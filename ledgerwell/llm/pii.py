@@ -29,7 +29,9 @@ MASKED = r"[A-Za-z0-9._%+-]{1,64}\x20?[\[({]\x20?[Aa][Tt]\x20?[\])}]\x20?[A-Za-z
 AT = r"\x20?[\[({]\x20?[Aa][Tt]\x20?[\])}]\x20?"
 DOT = r"\x20?(?:\.|[\[({]\x20?[Dd][Oo][Tt]\x20?[\])}])\x20?"
 CUES = r"(?i)(mail|phone|tel|call|fax|mobile|card|visa|credit|host|server|address|contact)"
-PIECES = 5
+# A span has at most so many digits. A run has at most three signs, so blanks, between two of them.
+MOST_DIGITS = 19
+PIECES = 1 + 3 * (MOST_DIGITS - 1)
 FEATURES = ("f_kind", "f_digits", "f_groups", "f_plus", "f_check", "f_before", "f_after", "f_cue")
 PRECISION = 0.95
 LEAST_SEEN = 50
@@ -112,8 +114,8 @@ def _sort_of(c: Column) -> Column:
 def candidates(matches: DataFrame) -> DataFrame:
     """All spans that the generators propose, with a kind and features; they overlap.
 
-    A run proposes each series of up to ``PIECES`` of its blank-separated pieces, as every kind that its
-    digits allow; a written-out address proposes itself. ``label`` is 1 if the e-mail rule accepts just
+    A run proposes each series of its blank-separated pieces that begins and ends in a piece with digits
+    and has at most ``MOST_DIGITS``, as every kind that these allow; a written-out address proposes itself. ``label`` is 1 if the e-mail rule accepts just
     a written-out address once its signs are undone; whether the rules accept a run's span, they tell
     themselves. The features do not look at the rules' own extent.
     """
@@ -123,11 +125,15 @@ def candidates(matches: DataFrame) -> DataFrame:
     along = Window.partitionBy("doc_id", "_key", "kind", "run").orderBy("i")
     before = along.rowsBetween(Window.unboundedPreceding, -1)
     piece = piece.withColumn("start", F.col("run") + F.coalesce(F.sum(F.length("piece") + 1).over(before), F.lit(0)))
-    piece = piece.withColumn("left", F.lag("piece").over(along)).withColumn("next", F.collect_list("piece").over(along.rowsBetween(0, PIECES)))
-    series = F.transform(F.sequence(F.lit(1), F.least(F.lit(PIECES), F.size("next"))), lambda k: F.struct(F.array_join(F.slice("next", F.lit(1), k), " ").alias("m"), k.alias("k"), F.get(F.col("next"), k).alias("right")))
-    spans = piece.withColumn("s", F.explode(series)).select("doc_id", "_key", "run", "kind", "i", "n", "start", "left", "pre", "post", "s.*")
-    # Borders that belong to no number: outer signs. In an address they are part of its names.
+    piece = piece.withColumn("_own", F.length(_digits(F.col("piece")))).withColumn("_sum", F.sum("_own").over(along))
+    ahead = F.collect_list(F.struct("piece", "_own", "_sum")).over(along.rowsBetween(0, PIECES))
+    piece = piece.withColumn("left", F.lag("piece").over(along)).withColumn("next", ahead)
     is_run = F.col("kind") == "run"
+    piece = piece.where(~is_run | F.col("_own").between(1, MOST_DIGITS))
+    held = F.size(F.filter("next", lambda x: x["_sum"] - F.col("_sum") + F.col("_own") <= MOST_DIGITS))
+    series = F.transform(F.sequence(F.lit(1), F.when(is_run, held).otherwise(F.lit(1))), lambda k: F.struct(F.array_join(F.slice(F.col("next")["piece"], F.lit(1), k), " ").alias("m"), k.alias("k"), F.get(F.col("next"), k)["piece"].alias("right"), F.get(F.col("next"), k - 1)["_own"].alias("last")))
+    spans = piece.withColumn("s", F.explode(series)).where(~is_run | (F.col("s.last") > 0)).select("doc_id", "_key", "run", "kind", "i", "n", "start", "left", "pre", "post", "s.*")
+    # Borders that belong to no number: outer signs. In an address they are part of its names.
     lead = F.when(is_run, F.regexp_extract("m", r"^[).\-]+", 0)).otherwise(F.lit(""))
     bare = F.regexp_replace(F.expr("substring(m, length(regexp_extract(m, '^[).-]+', 0)) + 1)"), r"[(.\-]+$", "")
     spans = spans.withColumn("start", F.col("start") + F.length(lead)).withColumn("m", F.when(is_run, bare).otherwise(F.col("m")))
@@ -204,8 +210,8 @@ def find_spans(docs: DataFrame, precision: float = PRECISION) -> DataFrame:
     own = F.col("added") == 0
     placed = all_rows.withColumn("_reach", F.max(F.when(own, F.col("end"))).over(up_to)).withColumn("_next", F.min(F.when(own, F.col("start"))).over(onward))
     free = placed.where(own | ~(F.coalesce(F.col("_reach") > F.col("start"), F.lit(False)) | F.coalesce(F.col("_next") < F.col("end"), F.lit(False))))
-    # Candidates that overlap lie within PIECES pieces of their run, at most four kinds each.
-    reach = PIECES * PIECES * len(KINDS)
+    # Candidates that overlap lie within PIECES pieces of their run, at most MOST_DIGITS series of four kinds each.
+    reach = PIECES * MOST_DIGITS * len(KINDS)
     near = Window.partitionBy("doc_id", "_key", "run").orderBy("i", "k", "kind").rowsBetween(-reach, reach)
     rank = F.struct(F.col("p").alias("p"), (F.col("end") - F.col("start")).alias("n"), (-F.col("start")).alias("s"), F.col("kind").alias("kind"), F.col("end").alias("end"))
     others = free.where(~own).withColumn("_rank", rank).withColumn("_near", F.collect_list("_rank").over(near))

@@ -278,6 +278,21 @@ def test_pii_adds_masked_addresses(spark):
     assert redacted[300] == "to [EMAIL]" and redacted[7] == "ask [EMAIL], please" and redacted[301] == "é [EMAIL] e"
 
 
+def test_pii_proposes_numbers_of_many_groups(spark):
+    prepared(spark)
+    card = "4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1"
+    rows = [(1, "call +33 1 23 45 67 89 1234567 now"), (2, f"pay {card} 77777777"), (3, "no 1 - 2  3   4 5 6 7 8 9 0 1 2 3 4 5 6 7 8 9 0"), (4, "9" * 25 + " 1")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r["doc_id"], r["f_kind"], r["start"], r["end"]) for r in pii.candidates(pii.match_rows(frame)).collect()}
+    assert {(1, 3, 5, 22), (2, 2, 4, 4 + len(card)), (3, 2, 3, 45)} <= found
+    texts_of = dict(rows)
+    assert all(texts_of[i][a] in "+(0123456789" and texts_of[i][b - 1].isdigit() for i, _, a, b in found)
+    known = [(i, f"call +33 1 23 4{i % 10} 67 {10 + i % 90} now") for i in range(10, 410)]
+    known += [(i, f"order 23 45 67 89 12345{10 + i % 90} and 1 23 45 67 89 {1000 + i}") for i in range(410, 810)]
+    spans = pii.digests(spark.createDataFrame(rows[:1] + known, "doc_id long, text string")).where("doc_id = 1").first()["spans"]
+    assert spans == "phone:5:22"
+
+
 def test_boosting_learns_an_interaction():
     x = np.array([[a, b] for a in range(2) for b in range(2)])
     pos, neg = np.array([1.0, 95, 80, 1]), np.array([99.0, 5, 20, 99])
