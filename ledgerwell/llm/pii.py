@@ -182,12 +182,30 @@ def learn(labelled: DataFrame, precision: float = PRECISION) -> tuple[list[tuple
     return [(*map(int, row), float(score)) for row, score in zip(x, p, strict=True)], limits
 
 
+def best_apart(spans: DataFrame) -> DataFrame:
+    """doc_id, _key, kind, start, end of the spans that stay of those that overlap, taken best first.
+
+    A span goes if one that stays is better and overlaps it. Spans linked by overlaps are decided together.
+    """
+    along = Window.partitionBy("doc_id", "_key").orderBy("start", "end")
+    reach = F.max("end").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    islands = spans.withColumn("_new", (F.col("start") >= F.coalesce(reach, F.lit(-1))).cast("int"))
+    islands = islands.withColumn("_island", F.sum("_new").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    rank = F.struct(F.col("p").cast("double").alias("p"), (F.col("end") - F.col("start")).cast("long").alias("n"), (-F.col("start")).cast("long").alias("s"), F.col("kind").alias("kind"), F.col("end").cast("long").alias("end"))
+    ranked = islands.groupBy("doc_id", "_key", "_island").agg(F.sort_array(F.collect_set(rank), asc=False).alias("_ranked"))
+    none = F.array().cast("array<struct<p:double,n:bigint,s:bigint,kind:string,end:bigint>>")
+    meets = lambda c, o: (-o["s"] < c["end"]) & (o["end"] > -c["s"])
+    chosen = F.aggregate("_ranked", none, lambda acc, c: F.when(F.exists(acc, lambda o: meets(c, o)), acc).otherwise(F.concat(acc, F.array(c))))
+    rows = ranked.select("doc_id", "_key", F.explode(chosen).alias("c"))
+    return rows.select("doc_id", "_key", F.col("c.kind").alias("kind"), (-F.col("c.s")).alias("start"), F.col("c.end").alias("end"))
+
+
 def find_spans(docs: DataFrame, precision: float = PRECISION) -> DataFrame:
     """(doc_id, _key, kind, start, end, base): personal data of every whole text, one row per span.
 
     Base spans are those of the stated rules and always stay. A candidate is added if its score reaches
-    its kind's threshold, it meets no base span, and no better candidate overlaps it (higher score, then
-    longer, then earlier). Places are code points, the end exclusive. Null and empty texts have none.
+    its kind's threshold, it meets no base span, and no better one that is added overlaps it (higher score,
+    then longer, then earlier). Places are code points, the end exclusive. Null and empty texts have none.
     """
     matches = stage(match_rows(docs), "matches")
     base = matches.where(F.col("kind").isin(*KINDS) & base_valid()).select("doc_id", "_key", "kind", "start", "end")
@@ -210,14 +228,8 @@ def find_spans(docs: DataFrame, precision: float = PRECISION) -> DataFrame:
     own = F.col("added") == 0
     placed = all_rows.withColumn("_reach", F.max(F.when(own, F.col("end"))).over(up_to)).withColumn("_next", F.min(F.when(own, F.col("start"))).over(onward))
     free = placed.where(own | ~(F.coalesce(F.col("_reach") > F.col("start"), F.lit(False)) | F.coalesce(F.col("_next") < F.col("end"), F.lit(False))))
-    # Candidates that overlap lie within PIECES pieces of their run, at most MOST_DIGITS series of four kinds each.
-    reach = PIECES * MOST_DIGITS * len(KINDS)
-    near = Window.partitionBy("doc_id", "_key", "run").orderBy("i", "k", "kind").rowsBetween(-reach, reach)
-    rank = F.struct(F.col("p").alias("p"), (F.col("end") - F.col("start")).alias("n"), (-F.col("start")).alias("s"), F.col("kind").alias("kind"), F.col("end").alias("end"))
-    others = free.where(~own).withColumn("_rank", rank).withColumn("_near", F.collect_list("_rank").over(near))
-    beaten = F.exists("_near", lambda o: (o > F.col("_rank")) & (-o["s"] < F.col("end")) & (o["end"] > F.col("start")))
     columns = ["doc_id", "_key", "kind", "start", "end"]
-    added = others.where(~beaten).select(*columns, F.lit(False).alias("base")).distinct()
+    added = best_apart(free.where(~own)).select(*columns, F.lit(False).alias("base"))
     return base.select(*columns, F.lit(True).alias("base")).union(added)
 
 

@@ -293,6 +293,21 @@ def test_pii_proposes_numbers_of_many_groups(spark):
     assert spans == "phone:5:22"
 
 
+def test_pii_overlaps_are_settled_best_first(spark):
+    prepared(spark)
+    # The middle one beats the last and is beaten by the first: the last stays.
+    rows = [(1, 5, "card", 0, 10, 0.9), (1, 5, "card", 5, 15, 0.8), (1, 5, "card", 10, 20, 0.7), (1, 5, "phone", 30, 40, 0.9), (1, 5, "card", 30, 40, 0.9), (None, 5, "card", 5, 15, 0.1), (1, 6, "card", 12, 20, 0.5)]
+    rng = np.random.default_rng(8)
+    rows += [(2, n // 40, "card", int(a), int(a + rng.integers(1, 12)), float(rng.integers(1, 4))) for n, a in enumerate(rng.integers(0, 60, 400))]
+    want, kept = set(), defaultdict(list)
+    for r in sorted(rows, key=lambda r: (r[5], r[4] - r[3], -r[3], r[2], r[4]), reverse=True):
+        if not any(a < r[4] and b > r[3] for a, b in kept[r[:2]]):
+            kept[r[:2]].append((r[3], r[4]))
+            want.add(r[:5])
+    got = [tuple(r) for r in pii.best_apart(spark.createDataFrame(rows, "doc_id long, _key long, kind string, start long, end long, p double")).collect()]
+    assert set(got) == want and len(got) == len(want) and (1, 5, "card", 10, 20) in want
+
+
 def test_boosting_learns_an_interaction():
     x = np.array([[a, b] for a in range(2) for b in range(2)])
     pos, neg = np.array([1.0, 95, 80, 1]), np.array([99.0, 5, 20, 99])
