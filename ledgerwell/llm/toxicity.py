@@ -14,7 +14,7 @@ from collections.abc import Iterator, Sequence
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwell.llm.shared import lean, stage
@@ -29,8 +29,10 @@ DIGITS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b",
 # Harmless phrases that hold a term of abuse.
 EXCEPTIONS = ("trash can", "trash bin", "trash bag", "clown fish", "scum line", "pond scum")
 
-TERMS = 2000
-LEAST_SHARE = 0.01
+# A term is kept from so many toxic texts on, if its log odds differ from zero with a likelihood ratio
+# statistic of so much (one-sided chance about 4e-6); neither grows with the number of texts.
+LEAST_TEXTS = 3
+SIGNIFICANT = 20.0
 PREFIXES = (4, 5, 6, 7, 8)
 # So many labels are broadcast.
 BROADCAST_ROWS = 1_000_000
@@ -87,14 +89,20 @@ def labelled_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return met(marked).select(F.col("text").cast("string").alias("text"), "toxic", "first")
 
 
-def learn_lexicon(labelled: DataFrame, terms: int = TERMS, least: float = LEAST_SHARE) -> list[tuple[str, float]]:
+def log_odds_evidence(pos: Column, neg: Column, n_pos: int, n_neg: int) -> Column:
+    """Likelihood ratio statistic of a term's toxic and other texts against their shares of all texts."""
+    both, whole = pos + neg, float(n_pos + n_neg)
+    part = lambda n, share: F.when(n > 0, n * F.log(n / (both * F.lit(share)))).otherwise(F.lit(0.0))
+    return F.lit(2.0) * (part(pos, n_pos / whole) + part(neg, n_neg / whole))
+
+
+def learn_lexicon(labelled: DataFrame) -> list[tuple[str, float]]:
     """(term, weight) from ``labelled_texts``.
 
     A term's weight is the log ratio of the smoothed shares of toxic and of other texts that hold it,
-    over all distinct labelled texts. Terms of ``LEAST_WEIGHT`` and more in at least the share ``least``
-    of the toxic texts are kept, of these the ``terms`` with the most evidence; the lexicon's size is a
-    parameter, so that it fits each task. Counts are summed per batch before the shuffle. Null texts
-    hold nothing.
+    over all distinct labelled texts. All terms of ``LEAST_WEIGHT`` and more with enough evidence are
+    kept, however small their share of the toxic texts is. Counts are summed per batch before the
+    shuffle. Null texts hold nothing.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,9 +121,9 @@ def learn_lexicon(labelled: DataFrame, terms: int = TERMS, least: float = LEAST_
     counts = used.mapInArrow(lean(run), "term string, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     n_pos, n_neg = max(totals["pos"], 1), max(totals["neg"], 1)
     weight = F.log((F.col("pos") + 0.5) / F.lit(n_pos + 1.0)) - F.log((F.col("neg") + 0.5) / F.lit(n_neg + 1.0))
-    kept = counts.where(F.col("pos") >= max(3, least * n_pos)).withColumn("weight", weight).where(F.col("weight") >= LEAST_WEIGHT)
-    best = kept.orderBy(F.desc(F.col("weight") * F.log1p("pos")), "term").limit(terms)
-    return [(r["term"], r["weight"]) for r in best.select("term", "weight").collect()]
+    enough = (F.col("pos") >= LEAST_TEXTS) & (log_odds_evidence(F.col("pos"), F.col("neg"), n_pos, n_neg) >= SIGNIFICANT)
+    kept = counts.where(enough).withColumn("weight", weight).where(F.col("weight") >= LEAST_WEIGHT)
+    return sorted((r["term"], r["weight"]) for r in kept.select("term", "weight").collect())
 
 
 def automaton(lexicon: Sequence[tuple[str, float]], exceptions: Sequence[str] = EXCEPTIONS) -> ahocorasick.Automaton | None:
