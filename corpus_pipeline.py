@@ -19,9 +19,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by five-word shingles at a similarity of 0.8 or more."""
+    """One text of each group linked by five-word shingles at a similarity of 0.8 or more."""
     prepared(spark)
-    return jaccard.one_of_each_group(docs, width=5, parts=4, whole=5)
+    return jaccard.without_near_copies(docs, width=5, parts=4, whole=5)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

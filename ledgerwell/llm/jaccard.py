@@ -19,7 +19,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwell.llm.components import components
@@ -98,7 +98,12 @@ def keys_of(hashes: np.ndarray, parts: int, whole: int) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-_SETS = "doc_id long, n_shingles long, h1 long, h2 long, sketch binary"
+_SETS = "doc_id long, copy long, n_shingles long, h1 long, h2 long, sketch binary"
+
+
+def _copy() -> Column:
+    """A hash that tells the texts of one doc_id."""
+    return F.xxhash64(F.col("text").cast("string"))
 
 
 def _distinct(texts: list[str | None], width: int) -> Iterator[np.ndarray]:
@@ -113,19 +118,19 @@ def _name(s: np.ndarray) -> tuple[int, int]:
 
 
 def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
-    """Per text: set size, the set's 128-bit name, and its bit sketch."""
+    """Per text: its hash, set size, the set's 128-bit name, and its bit sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sizes, names, bits = [], [], []
-            for s in _distinct(b.column(1).to_pylist(), width):
+            for s in _distinct(b.column(2).to_pylist(), width):
                 sizes.append(len(s))
                 names.append(_name(s))
                 bits.append(bit_sketch(s).tobytes())
-            columns = [b.column(0), pa.array(sizes, pa.int64()), *(pa.array([n[i] for n in names], pa.int64()) for i in (0, 1)), pa.array(bits, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "h1", "h2", "sketch"])
+            columns = [b.column(0), b.column(1), pa.array(sizes, pa.int64()), *(pa.array([n[i] for n in names], pa.int64()) for i in (0, 1)), pa.array(bits, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "copy", "n_shingles", "h1", "h2", "sketch"])
 
-    chosen = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    chosen = docs.select(F.col("doc_id").cast("long"), _copy().alias("copy"), F.col("text").cast("string"))
     return chosen.mapInArrow(lean(run), _SETS)
 
 
@@ -309,75 +314,105 @@ def _similar(a: np.ndarray, b: np.ndarray, parts: int, whole: int) -> bool:
 
 
 def _verified(docs: DataFrame, sets: DataFrame, groups: DataFrame, width: int, parts: int, whole: int) -> DataFrame:
-    """Exact links (a, b) over doc ids within each candidate group; a and b stand for their sets."""
+    """Exact links (a, b) over set names (h1) within each candidate group."""
     spark = docs.sparkSession
-    # One text per distinct set of a candidate group.
-    texts = sets.drop("sketch").join(groups, sets["h1"] == groups["node"]).groupBy("component", "h1", "h2")
-    texts = stage(texts.agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n")).where("doc_id is not null"), "candidates")
+    # One text per distinct set of a candidate group. A repeated id may have other texts.
+    texts = sets.drop("sketch").where("doc_id is not null").join(groups, sets["h1"] == groups["node"]).groupBy("component", "h1", "h2")
+    texts = texts.agg(F.min(F.struct("doc_id", "copy")).alias("_one"), F.first("n_shingles").alias("n"))
+    texts = stage(texts.select("component", "h1", "h2", "_one.*", "n"), "candidates")
     blocks = F.ceil(F.greatest(F.count("*") / F.lit(BLOCK_TEXTS), F.sum("n") / F.lit(BLOCK_SHINGLES))).cast("int")
     large = stage(texts.groupBy("component").agg(blocks.alias("blocks")).where("blocks > 1"), "large-groups")
-    dealt = stage(_in_blocks(texts.drop("n"), large, "component", "doc_id"), "dealt")
-    chosen = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text"))
+    dealt = stage(_in_blocks(texts.drop("n"), large, "component", "h1"), "dealt")
+    chosen = docs.select(F.col("doc_id").cast("long").alias("_id"), _copy().alias("_copy"), F.col("text").cast("string").alias("text"))
     small = dealt.count() <= BROADCAST_ROWS
-    with_text = chosen.join(F.broadcast(dealt) if small else dealt, F.col("_id") == F.col("doc_id"))
+    with_text = chosen.join(F.broadcast(dealt) if small else dealt, (F.col("_id") == F.col("doc_id")) & (F.col("_copy") == F.col("copy")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, ids, held = None, [], []
+        at, names, held = None, [], []
 
         def done() -> pa.RecordBatch:
-            found = _links(ids, held, parts, whole)
+            found = _links([h1 for h1, _ in names], held, parts, whole)
             return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["a", "b"])
 
         for b in batches:
-            rows = zip(*(b.column(i).to_pylist() for i in range(6)), _distinct(b.column(6).to_pylist(), width), strict=True)
-            for component, lo, hi, doc_id, h1, h2, s in rows:
+            rows = zip(*(b.column(i).to_pylist() for i in range(5)), _distinct(b.column(5).to_pylist(), width), strict=True)
+            for component, lo, hi, h1, h2, s in rows:
                 if (component, lo, hi) != at:
                     if len(held) > 1:
                         yield done()
-                    at, ids, held = (component, lo, hi), [], []
-                if _name(s) == (h1, h2) and doc_id not in ids[-1:]:  # a repeated id may have other texts
-                    ids.append(doc_id)
+                    at, names, held = (component, lo, hi), [], []
+                if _name(s) == (h1, h2) and (h1, h2) not in names[-1:]:  # rows may be repeated
+                    names.append((h1, h2))
                     held.append(s)
         if len(held) > 1:
             yield done()
 
     group = ["component", "lo", "hi"]
-    spread = with_text.select(*group, "doc_id", "h1", "h2", "text").repartition(*group).sortWithinPartitions(*group, "doc_id")
+    spread = with_text.select(*group, "h1", "h2", "text").repartition(*group).sortWithinPartitions(*group, "h1", "h2")
     return spread.mapInArrow(lean(run), "a long, b long")
 
 
+def _grouped(docs: DataFrame, width: int, parts: int, whole: int) -> DataFrame:
+    """doc_id, copy, n_shingles and _keeper (doc_id, copy) of every row: the least of the texts that its set
+    is linked to or equal to, among rows with an id. Null if there is no other than the row's own text,
+    or no id, or no words."""
+    sets = stage(shingle_sets(docs, width), "sets")
+    groups = components(candidate_edges(docs, sets, width, parts, whole), "candidate-groups")
+    links = components(_verified(docs, sets, groups, width, parts, whole), "links")
+    narrow = sets.select("doc_id", "copy", "n_shingles", "h1", "h2")
+    known = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "copy"))
+    classes = narrow.where("n_shingles > 0").groupBy("h1", "h2").agg(F.min(known).alias("_rep"), F.count("*").alias("_n"))
+    classes = classes.join(links, classes["h1"] == links["node"], "left")
+    # Only sets with copies or links need a look-up; all others are their own group.
+    classes = stage(classes.where("_n > 1 or component is not null").select("h1", "h2", "component", "_rep"), "classes")
+    least = classes.where("component is not null").groupBy("component").agg(F.min("_rep").alias("_least"))
+    least = stage(least.withColumnRenamed("component", "_group"), "group-keepers")
+    few = least.count() <= BROADCAST_ROWS
+    named = classes.join(F.broadcast(least) if few else least, F.col("component") == F.col("_group"), "left")
+    named = named.select("h1", "h2", F.coalesce("_least", "_rep").alias("_keeper"))
+    met = narrow.join(named, ["h1", "h2"], "left")
+    return met.select("doc_id", "copy", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("_keeper")).alias("_keeper"))
+
+
 def jaccard_groups(docs: DataFrame, width: int = 5, parts: int = 4, whole: int = 5) -> DataFrame:
     """doc_id, n_shingles, component_id: groups of texts linked at a similarity of parts/whole or more.
 
     Texts are lower-cased over A-Z and cut into words at ASCII white space; a set holds the distinct
     runs of ``width`` words, or the whole sequence if shorter. A text without words links with nothing.
-    component_id is the smallest doc_id reachable; exact copies link through their set. Rows that
-    repeat an id are all returned; a null id gets its text's group, or null. Every set is exact up to
-    64-bit shingle hashes. No documents give no rows.
+    component_id is the smallest doc_id of the texts reachable; exact copies link through their set. Rows
+    that repeat an id are all returned, each grouped by its own text; a null id gets its text's group, or
+    null. Every set is exact up to 64-bit shingle hashes and set names. No documents give no rows.
     """
-    sets = stage(shingle_sets(docs, width), "sets")
-    groups = components(candidate_edges(docs, sets, width, parts, whole), "candidate-groups")
-    links = components(_verified(docs, sets, groups, width, parts, whole), "links")
-    narrow = sets.select("doc_id", "n_shingles", "h1", "h2")
-    classes = narrow.where("n_shingles > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("_rep"), F.count("*").alias("_n"))
-    classes = classes.join(links, classes["_rep"] == links["node"], "left")
-    # Only sets with copies or links need a look-up; all others are their own group.
-    named = stage(classes.where("_n > 1 or component is not null").select("h1", "h2", F.coalesce("component", "_rep").alias("_component")), "classes")
-    met = narrow.join(named, ["h1", "h2"], "left")
-    own = F.when(F.col("n_shingles") > 0, F.col("_component"))
-    return met.select("doc_id", "n_shingles", F.coalesce(own, "doc_id").alias("component_id"))
+    met = _grouped(docs, width, parts, whole)
+    return met.select("doc_id", "n_shingles", F.coalesce("_keeper.doc_id", "doc_id").alias("component_id"))
 
 
-def one_of_each_group(docs: DataFrame, width: int = 5, parts: int = 4, whole: int = 5) -> DataFrame:
-    """The rows of ``docs`` without those linked to a smaller doc_id; of rows that repeat an id, one stays.
+def without_near_copies(docs: DataFrame, width: int = 5, parts: int = 4, whole: int = 5) -> DataFrame:
+    """The rows of ``docs`` without those whose own text is linked or equal to one that stays.
 
-    Texts without words and rows without id stay.
+    Of each group the text of the smallest doc_id stays, once. Rows that repeat an id with texts of
+    several groups are decided each by its text. Texts without words and rows without id stay.
     """
-    groups = stage(jaccard_groups(docs, width, parts, whole), "groups")
-    gone = stage(groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_id")).distinct(), "linked")
+    groups = stage(_grouped(docs, width, parts, whole).where("doc_id is not null and _keeper is not null"), "groups")
+    own = F.struct("doc_id", "copy")
+    pair = [F.col("doc_id").alias("_id"), F.col("copy").alias("_copy")]
+    gone = stage(groups.where(own != F.col("_keeper")).select(*pair).distinct(), "linked")
     few = gone.count() <= BROADCAST_ROWS
-    kept = docs.join(F.broadcast(gone) if few else gone, docs["doc_id"] == gone["_id"], "left_anti")
-    again = groups.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    marked = docs.withColumn("_hash", _copy())
+    on = lambda table: (F.col("doc_id") == table["_id"]) & (F.col("_hash") == table["_copy"])
+    kept = marked.join(F.broadcast(gone) if few else gone, on(gone), "left_anti")
+    again = groups.where(own == F.col("_keeper")).groupBy(*pair).count().where("count > 1").drop("count")
     if again.isEmpty():
-        return kept
-    return kept.join(again, "doc_id", "left_anti").unionByName(kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(docs.columns)
+        return kept.select(docs.columns)
+    once = kept.join(again, on(again), "left_semi").dropDuplicates(["doc_id", "_hash"])
+    return kept.join(again, on(again), "left_anti").unionByName(once).select(docs.columns)
+
+
+def one_of_each_group(docs: DataFrame, width: int = 5, parts: int = 4, whole: int = 5) -> DataFrame:
+    """``without_near_copies`` with one row per doc_id: of rows that repeat an id, one stays, whatever its text.
+
+    Rows without id stay. For tables where an id is one document; others lose texts by it.
+    """
+    kept = without_near_copies(docs, width, parts, whole)
+    some = kept.where("doc_id is not null").dropDuplicates(["doc_id"])
+    return some.unionByName(kept.where("doc_id is null"))

@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from ledgerwell.llm import boosting, fingerprints, jaccard, language, mixing, packing, pii, quality, recount, toxicity, warc
 from ledgerwell.llm.queries import TOKENIZER
 from ledgerwell.llm.shared import prepared
@@ -171,6 +172,18 @@ def test_jaccard_keeps_all_rows(docs, empty):
     assert jaccard.one_of_each_group(empty).count() == 0
 
 
+def test_jaccard_decides_repeated_ids_by_text(spark):
+    prepared(spark)
+    one, two, three = (sentence(n, 100) for n in (21, 22, 23))
+    near = lambda t: t + " tail"
+    rows = [(2, three), (3, one), (9, near(one)), (9, two), (9, two.upper()), (9, two), (12, near(two)), (15, near(three)), (15, "alone here"), (20, ""), (20, ""), (None, two)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter((r["doc_id"], r["component_id"]) for r in jaccard.jaccard_groups(frame).collect())
+    assert got == Counter([(2, 2), (3, 3), (9, 3), (9, 9), (9, 9), (9, 9), (12, 9), (15, 2), (15, 15), (20, 20), (20, 20), (None, 9)])
+    kept = Counter((r["doc_id"], (r["text"] or "").lower()) for r in corpus_pipeline.drop_near_copies(spark, frame, "").collect())
+    assert kept == Counter([(2, three), (3, one), (9, two), (15, "alone here"), (20, ""), (20, ""), (None, two)])
+
+
 def test_keys_meet_wherever_sets_link():
     rng = np.random.default_rng(9)
     for parts, whole in ((9, 10), (4, 5)):
