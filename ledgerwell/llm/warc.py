@@ -121,52 +121,81 @@ def parse_record(data: bytes, at: int) -> tuple[dict, int] | str:
     return made, stop + 4
 
 
-def _member(data: bytes, at: int) -> tuple[bytes, int] | None:
-    """A whole gzip member's content and its end, if one starts at ``at`` and its checksum holds."""
+def _member(data: bytes, at: int) -> tuple[bytes, int, bool]:
+    """A gzip member's content as far as it can be read, where that ends, and whether it is whole and its
+    checksum holds."""
     machine, content, view = zlib.decompressobj(31), [], memoryview(data)
-    try:
-        while at < len(data) and not machine.eof:
+    start = at
+    while at < len(data) and not machine.eof:
+        try:
             content.append(machine.decompress(view[at : at + _STEP]))
-            at = min(at + _STEP, len(data))
+        except zlib.error:
+            return *_up_to_error(view, start, at), False
+        at = min(at + _STEP, len(data))
+    return b"".join(content), at - len(machine.unused_data), machine.eof
+
+
+def _up_to_error(view: memoryview, start: int, step: int) -> tuple[bytes, int]:
+    """The content from ``start`` up to the error in the step that begins at ``step``, and where it is."""
+    machine, content = zlib.decompressobj(31), []
+    for at in range(start, step, _STEP):
+        content.append(machine.decompress(view[at : at + _STEP]))
+    at = step
+    try:
+        while at < len(view):
+            content.append(machine.decompress(view[at : at + 1]))
+            at += 1
     except zlib.error:
-        return None
-    return (b"".join(content), at - len(machine.unused_data)) if machine.eof else None
+        pass
+    return b"".join(content), at
 
 
 def salvage(data: bytes) -> Iterator[tuple[int, int, dict | None, str | None]]:
     """(offset, length, record, problem): all records that pass their checks, and the gaps between them.
 
     Where a check fails, the next member or version line from which a record passes is searched; the
-    bytes up to there are one gap with the first problem met. Offsets count in the file as stored.
+    bytes up to there are one gap with the first problem met. Offsets count in the file as stored: records
+    of one gzip member, and gaps inside a member with records, have the member's. Of a broken member the
+    records before the error are kept, with the bytes read up to it; the member is a gap as well.
     """
     at, gap, why = 0, None, ""
     packed = data.startswith(_GZIP) or not _VERSION.match(data) and 0 <= data.find(_GZIP)
+    # Records of the last broken member and where its reading ended: stored blocks show them again.
+    known, known_to = [], 0
     while at < len(data):
         found: list[dict] = []
+        inner: list[tuple] = []
         problem: str = ""
         stop = at
+        whole = True
         if packed and data.startswith(_GZIP, at):
-            member = _member(data, at)
-            inner = list(salvage(member[0])) if member else []
+            content, stop, whole = _member(data, at)
+            inner = list(salvage(content))
             found = [r for _, _, r, _ in inner if r]
-            problem = next((p for _, _, r, p in inner if not r and p), "") if member else "broken member"
-            stop = member[1] if member and found and not problem else at
-            if problem:
-                found = []
+            # The cut end of a broken member is told by the gap that follows it.
+            inner = [g for g in inner if not g[2] and (whole or g[0] + g[1] < len(content))]
+            problem = "broken member" if not whole else inner[0][3] if inner else ""
         else:
             parsed = parse_record(data, at)
             if isinstance(parsed, str):
                 problem = parsed
             else:
                 found, stop = [parsed[0]], parsed[1]
+                if at < known_to and found[0] in known:
+                    at = stop
+                    continue
         if found:
-            if gap is not None:
+            if gap is not None and gap < at:
                 yield gap, at - gap, None, why
-                gap = None
+            gap = None
             for record in found:
                 yield at, stop - at, record, None
-            at = stop
-            continue
+            for _, _, _, inside in inner:
+                yield at, stop - at, None, inside
+            if whole:
+                at = stop
+                continue
+            known, known_to = found, stop
         if gap is None:
             gap, why = at, problem
         places = [data.find(_GZIP, at + 1)] if packed else []

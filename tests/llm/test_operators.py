@@ -416,6 +416,34 @@ def test_salvage_recovers_what_follows_damage(pack):
     assert sum(n for _, n in gaps) + sum(n for _, n, r, _ in found if r) == len(data) and len(gaps) == (2 if pack is gzip.compress else 3)
 
 
+def noisy(n):
+    return record(n, np.random.default_rng(n).bytes(3000))
+
+
+def recovered(data):
+    return [int(r["record_id"][10:-1]) for _, _, r, _ in warc.salvage(data) if r]
+
+
+@pytest.mark.parametrize("level", [0, 9])
+def test_salvage_keeps_what_passes_inside_a_member(level):
+    records = [noisy(n) for n in range(60)]
+    bad = records[30][:-400] + b"?" + records[30][-399:]
+    rest = [n for n in range(60) if n != 30]
+    data = gzip.compress(b"".join([*records[:30], bad, *records[31:]]), level)
+    found = list(warc.salvage(data + gzip.compress(noisy(99), level)))
+    assert [r["record_id"] for _, _, r, _ in found if r] == [f"<urn:page:{n}>" for n in [*rest, 99]]
+    assert [g for g in found if not g[2]] == [(0, len(data), None, "payload does not match its digest")]
+    # A cut one, a damaged one and one of a wrong checksum, each with a good one behind it.
+    whole, last = gzip.compress(b"".join(records), level), gzip.compress(noisy(99), level)
+    cut = whole[: len(whole) // 2]
+    assert recovered(cut) == list(range(len(recovered(cut)))) and len(recovered(cut)) in (29, 30)
+    assert recovered(cut + last) == recovered(cut) + [99]
+    broken = bytearray(whole)
+    broken[-6] ^= 1
+    assert recovered(bytes(broken) + last) == [*range(60), 99]
+    assert [p for _, _, r, p in warc.salvage(bytes(broken) + last) if not r] == ["broken member"]
+
+
 def test_quality_counts_and_verdicts(spark, empty):
     prepared(spark)
     rows = [(i, sentence(i, 80)) for i in range(60)] + [(i, " ".join(f"junk{i}x{j}" for j in range(80))) for i in range(60, 80)]
