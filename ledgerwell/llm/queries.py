@@ -8,10 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerwell.llm import fingerprints, jaccard, language, mixing, packing, pii, quality, recount, toxicity, warc
+from ledgerwell.llm import alignment, bpe, collocations, fingerprints, jaccard, language, mixing, packing, pii, quality, recount, toxicity, warc
 from ledgerwell.llm.shared import crc32_of_id, documents, prepared
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,6 +76,18 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(documents(spark, sf_dir), BYTE_BPE, PIECE_BPE)
+
+
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(documents(spark, sf_dir), BYTE_BPE)
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
+
+
 _RAW: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -87,6 +101,9 @@ _RAW: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_warc,
         op9_quality,
         op10_language_id,
+        op11_alignment,
+        op12_bpe,
+        op13_collocations,
     )
 }
 
@@ -140,5 +157,39 @@ WITH p AS (
 SELECT page_id, strlen(html)::BIGINT AS payload_bytes, sha1(html) AS payload_digest,
     CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN keeper END AS refers_to
 FROM r
+""",
+    "op13_collocations": r"""
+WITH lowered AS (
+    SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+), pieces AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+    FROM (SELECT lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM lowered)
+), starts AS (
+    SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces
+), counts AS (
+    SELECT lang, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS phrase, count(*) AS f
+    FROM starts, (VALUES (1), (2), (3)) AS sizes(k) WHERE i + k - 1 <= len(w) GROUP BY ALL
+), candidates AS (
+    SELECT *, string_split(phrase, ' ') AS ws FROM counts WHERE k > 1 AND f >= 10
+), parts AS (
+    SELECT *, array_to_string(list_slice(ws, 1, cut), ' ') AS head, array_to_string(list_slice(ws, cut + 1, k), ' ') AS rest
+    FROM candidates, (VALUES (1), (2)) AS places(cut) WHERE cut < k
+), cuts AS (
+    SELECT c.lang, c.k, c.phrase, c.f AS a, x.f AS l, y.f AS r, cut, (1000000::HUGEINT * c.f * c.f) // (x.f::HUGEINT * y.f) AS score
+    FROM parts c JOIN counts x ON x.lang || ':' || x.phrase = c.lang || ':' || c.head
+        JOIN counts y ON y.lang || ':' || y.phrase = c.lang || ':' || c.rest
+), lowest AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), longer AS (
+    SELECT lang, array_to_string(list_slice(ws, i, i + 1), ' ') AS phrase, max(f) AS most
+    FROM candidates, (VALUES (1), (2)) AS places(i) WHERE k = 3 GROUP BY ALL
+), kept AS (
+    SELECT b.* FROM lowest b LEFT JOIN longer t ON t.lang = b.lang AND t.phrase = b.phrase
+    WHERE NOT coalesce(100 * t.most >= 50 * b.a, false)
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept
+)
+SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
+FROM ranked JOIN (SELECT lang, sum(f) AS n FROM counts WHERE k = 1 GROUP BY lang) USING (lang) WHERE rank <= 2000
 """,
 }
