@@ -1,6 +1,6 @@
 """Alignment of two tokenizations of the same bytes, and how often their ids meet.
 
-Per text, the byte offsets at which tokens end are dictionaries from end to index, one per side. Ends that
+Per run of text, the byte offsets at which tokens end are dictionaries from end to index, one per side. Ends that
 both hold cut the two id lists into groups; inside a group, each pair of tokens whose bytes overlap is a
 link. Counts of linked id pairs over all documents are made without moving texts: a block of documents sends
 each of its pairs once, with its count, and gets the corpus-wide count back in the same order.
@@ -13,6 +13,7 @@ import os
 import re
 from collections import deque
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -20,23 +21,25 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerwell.llm.bpe import ENTRY_BYTES, GROUP_CHARS, LONGEST_REMEMBERED, ByteBpe, ByteMemo
+from ledgerwell.llm.bpe import GROUP_CHARS, LONGEST_REMEMBERED, ByteBpe, ByteMemo
 from ledgerwell.llm.shared import lean, scratch_path
 
 # A block closes when it holds this many links or documents; a single document is never cut.
 BLOCK_LINKS = 1_000_000
 BLOCK_DOCS = 20_000
+# What a worker remembers, per generation: aligned chunks, and the words of side A inside new ones.
+REMEMBERED_BYTES = 80 << 20
+WORD_BYTES = 8 << 20
 # An id pair is one number: its B id below this, its A id above.
 B_IDS = 1 << 31
-# No id: marks a text whose pieces do not give its bytes back.
-LOSSY = (1 << 32) - 1
 # A blank may only be merged with what follows it, so a text can be cut before each run of blanks.
 _CHUNK = re.compile(" *[^ ]+| +")
-_loaded: dict[str, Pieces] = {}
+_JOINED = re.compile(r"[^\S ] ")
+_loaded: dict[tuple[str, str], Aligner] = {}
 
 
 class Pieces:
-    """A sentencepiece model with byte fallback, encoded chunk by chunk."""
+    """A sentencepiece model with byte fallback."""
 
     def __init__(self, path: str):
         from sentencepiece import SentencePieceProcessor
@@ -50,53 +53,13 @@ class Pieces:
         ]
         self.sizes = np.array([len(x) for x in self.text_of], np.int64)
         self.blank = self.model.piece_to_id("▁")
-        self.memo = ByteMemo()
 
-    @staticmethod
-    def of(path: str) -> Pieces:
-        if path not in _loaded:
-            _loaded[path] = Pieces(path)
-        return _loaded[path]
-
-    def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
-        """Per text the ids of blank + text as little-endian unsigned 32-bit numbers; ``LOSSY`` is among them
-        where they do not stand for these bytes."""
-        held: list[list[str]] = []
-        size = 0
-        for text in texts:
-            held.append(self._chunks(text))
-            size += len(text)
-            if size >= GROUP_CHARS:
-                yield from self._ids(held)
-                held, size = [], 0
-        yield from self._ids(held)
-
-    def _chunks(self, text: str) -> list[str]:
-        """Runs of blanks and what follows them, each without its first blank, which the model puts there
-        itself. Its sign for blanks may merge with them where a text holds it: such texts stay whole."""
-        if not self.by_chunk or "▁" in text:
-            return [text]
-        chunks = text.split(" ")
-        return [c[1:] for c in _CHUNK.findall(" " + text)] if "" in chunks else chunks
-
-    def _ids(self, held: list[list[str]]) -> Iterator[bytes]:
-        memo = self.memo
-        memo.age()
-        for chunks in held:
-            deque(map(memo.__getitem__, chunks), maxlen=0)
-        missed, memo.missed = list(memo.missed), set()
-        long = []
-        for chunk, ids in zip(missed, self.model.encode(missed, num_threads=1), strict=True):
+    def encode(self, texts: list[str]) -> Iterator[list[int]]:
+        """Per text the ids of blank + text; none where they do not stand for these bytes."""
+        for text, ids in zip(texts, self.model.encode(texts, num_threads=1), strict=True):
             # The model puts no blank before the empty text, which stands for a lone one here.
-            ids = np.array(ids or [self.blank], "<u4")
-            lossless = b"".join(map(self.text_of.__getitem__, ids.tolist())) == b" " + chunk.encode()
-            memo.put(chunk, (ids if lossless else np.array([LOSSY], "<u4")).tobytes())
-            if len(chunk) > LONGEST_REMEMBERED:
-                long.append(chunk)
-        for chunks in held:
-            yield b"".join(map(memo.__getitem__, chunks))
-        for chunk in long:
-            memo.held -= ENTRY_BYTES + len(chunk) + len(memo.pop(chunk))
+            ids = ids or [self.blank]
+            yield ids if b"".join(map(self.text_of.__getitem__, ids)) == b" " + text.encode() else []
 
 
 def groups(sizes_a: np.ndarray, sizes_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -145,27 +108,99 @@ def links(sizes_a: np.ndarray, sizes_b: np.ndarray, ends_a: np.ndarray, ends_b:
 
 
 class Aligner:
-    """Both tokenizers and the written form of groups."""
+    """Texts aligned chunk by chunk: a chunk is a run of blanks and what follows it. Both sides cut between
+    chunks, so the ends there are common ones, and a chunk met before is not aligned again."""
 
     def __init__(self, path_a: str, path_b: str):
-        self.a, self.b = ByteBpe.of(path_a, special_as_text=True), Pieces.of(path_b)
+        self.a, self.b = ByteBpe.of(path_a, special_as_text=True), Pieces(path_b)
         # An id and what follows it: another id of the side, then the other side, then the next group.
         n_a, n_b = len(self.a.sizes), len(self.b.sizes)
         self.turn, self.next = max(n_a, n_b), max(n_a, n_b) + n_a
         self.parts = [f"{i},".encode() for i in range(self.turn)] + [f"{i}|".encode() for i in range(n_a)] + [f"{i};".encode() for i in range(n_b)]
+        self.part_sizes = np.array([len(x) for x in self.parts], np.int64)
+        # Chunk without its first blank -> written groups, keys of its links, (n_a, n_b, n_groups).
+        self.memo = ByteMemo(REMEMBERED_BYTES)
+        self.a.memo.most = WORD_BYTES
 
-    def encode(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Ids of both sides per text; none where a side's bytes are not those of blank + text. Side A starts
-        from the text's bytes and only joins them, so only B can differ."""
-        spaced = [" " + t if t else "" for t in texts]
-        for text, raw_a, raw_b in zip(spaced, self.a.encode(spaced), self.b.encode(t[1:] for t in spaced), strict=True):
-            ids_a, ids_b = np.frombuffer(raw_a, "<u4").astype(np.int64), np.frombuffer(raw_b, "<u4").astype(np.int64)
-            if not text or (ids_b == LOSSY).any():
-                ids_a = ids_b = np.zeros(0, np.int64)
-            yield ids_a, ids_b
-
-    def written(self, ids_a: np.ndarray, ids_b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> bytes:
-        """Groups as ``a1,a2|b1;a3|b2,b3``."""
+    @staticmethod
+    def of(path_a: str, path_b: str) -> Aligner:
+        if (path_a, path_b) not in _loaded:
+            _loaded[path_a, path_b] = Aligner(path_a, path_b)
+        return _loaded[path_a, path_b]
+
+    def chunks(self, text: str) -> list[str]:
+        """The chunks of blank + text, each without its first blank, which side B puts there itself.
+
+        A text that holds B's sign for blanks, or a blank after other white space, which side A may join,
+        stays whole.
+        """
+        if not self.b.by_chunk or "▁" in text or _JOINED.search(text):
+            return [text]
+        chunks = text.split(" ")
+        return [c[1:] for c in _CHUNK.findall(" " + text)] if "" in chunks else chunks
+
+    def align(self, texts: Iterable[str | None]) -> Iterator[tuple[bytes, np.ndarray, np.ndarray]]:
+        """Per text: its written groups, the keys of its links, and (n_a, n_b, n_groups); nothing and zeros
+        for a null or empty text and where B's bytes are not those of blank + text. Side A starts from the
+        bytes and only joins them, so it cannot differ."""
+        held: list[list[str]] = []
+        size = 0
+        for text in texts:
+            held.append(self.chunks(text) if text else [])
+            size += len(text or "")
+            if size >= GROUP_CHARS:
+                yield from self._aligned(held)
+                held, size = [], 0
+        yield from self._aligned(held)
+
+    def _aligned(self, held: list[list[str]]) -> Iterator[tuple[bytes, np.ndarray, np.ndarray]]:
+        memo = self.memo
+        memo.age()
+        for chunks in held:
+            deque(map(memo.__getitem__, chunks), maxlen=0)
+        missed, memo.missed = list(memo.missed), set()
+        long = []
+        for chunk, value in zip(missed, self._learn(missed), strict=True):
+            memo.put(chunk, value)
+            if len(chunk) > LONGEST_REMEMBERED:
+                long.append(chunk)
+        for chunks in held:
+            written, keys, sizes = zip(*map(memo.__getitem__, chunks)) if chunks else ((), (), ())
+            sizes = np.frombuffer(b"".join(sizes), np.int32).reshape(-1, 3)
+            if sizes.size and sizes.min() > 0:
+                yield b";".join(written), np.frombuffer(b"".join(keys), np.int64), sizes.sum(axis=0, dtype=np.int64)
+            else:
+                yield b"", np.zeros(0, np.int64), np.zeros(3, np.int64)
+        for chunk in long:
+            memo.drop(chunk)
+
+    def _learn(self, chunks: list[str]) -> Iterator[tuple[bytes, bytes, bytes]]:
+        """Aligns the chunks, one after another as one text; those that B does not give back hold nothing."""
+        by_chunk = list(self.b.encode(chunks))
+        n_b = np.array([len(x) for x in by_chunk], np.int64)
+        raw_a = [raw if n else b"" for raw, n in zip(self.a.encode(" " + c for c in chunks), n_b.tolist(), strict=True)]
+        n_a = np.array([len(x) // 4 for x in raw_a], np.int64)
+        ids_a = np.frombuffer(b"".join(raw_a), "<u4").astype(np.int64)
+        ids_b = np.fromiter(chain.from_iterable(by_chunk), np.int64, int(n_b.sum()))
+        sizes_a, sizes_b = self.a.sizes[ids_a], self.b.sizes[ids_b]
+        ends_a, ends_b = groups(sizes_a, sizes_b)
+        at_a, at_b = links(sizes_a, sizes_b, ends_a, ends_b)
+        order = np.lexsort((at_b, at_a))
+        keys = (ids_a[at_a] * B_IDS + ids_b[at_b])[order].tobytes()
+        parts = self.written(ids_a, ids_b, ends_a, ends_b)
+        text = b"".join(map(self.parts.__getitem__, parts.tolist()))
+        last_a = np.cumsum(n_a)
+        text_end = np.concatenate(([0], np.cumsum(self.part_sizes[parts])))[last_a + np.cumsum(n_b)].tolist()
+        key_end = (8 * np.searchsorted(at_a[order], last_a)).tolist()
+        n_groups = np.diff(np.searchsorted(ends_a, last_a, "right"), prepend=0)
+        sizes = np.stack((n_a, n_b, n_groups), axis=1).astype(np.int32).tobytes()
+        text_at = key_at = 0
+        for i, (text_to, key_to) in enumerate(zip(text_end, key_end, strict=True)):
+            yield text[text_at : max(text_to - 1, text_at)], keys[key_at:key_to], sizes[12 * i : 12 * i + 12]
+            text_at, key_at = text_to, key_to
+
+    def written(self, ids_a: np.ndarray, ids_b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> np.ndarray:
+        """Groups as ``a1,a2|b1;a3|b2,b3;``: the places in ``parts`` of what to write."""
         # Tokens of A move behind the B tokens of earlier groups, and those of B behind their own group's A.
         n_a, n_b = np.diff(ends_a, prepend=0), np.diff(ends_b, prepend=0)
         part = np.empty(len(ids_a) + len(ids_b), np.int64)
@@ -174,7 +209,7 @@ class Aligner:
         part[place_a], part[place_b] = ids_a, ids_b
         part[place_a[ends_a - 1]] += self.turn
         part[place_b[ends_b - 1]] += self.next
-        return b"".join(map(self.parts.__getitem__, part.tolist()))[:-1]
+        return part
 
 
 _DOCS = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
@@ -205,22 +240,13 @@ def align_blocks(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(values[f.name], f.type) if f.name in values else pa.nulls(1, f.type) for f in schema], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = Aligner(path_a, path_b)
+        aligner = Aligner.of(path_a, path_b)
         block = TaskContext.get().partitionId() << 32
         rows, keys, n = [], [], 0
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            for doc_id, (ids_a, ids_b) in zip(batch.column(0).to_pylist(), aligner.encode(texts), strict=True):
-                if len(ids_a):
-                    sizes_a, sizes_b = aligner.a.sizes[ids_a], aligner.b.sizes[ids_b]
-                    ends_a, ends_b = groups(sizes_a, sizes_b)
-                    at_a, at_b = links(sizes_a, sizes_b, ends_a, ends_b)
-                    key = ids_a[at_a] * B_IDS + ids_b[at_b]
-                    digest = hashlib.sha256(aligner.written(ids_a, ids_b, ends_a, ends_b)).hexdigest()
-                    rows.append((doc_id, len(ids_a), len(ids_b), len(ends_a), len(key), digest))
-                else:
-                    key = np.zeros(0, np.int64)
-                    rows.append((doc_id, 0, 0, 0, 0, ""))
+            for doc_id, (written, key, sizes) in zip(batch.column(0).to_pylist(), aligner.align(texts), strict=True):
+                rows.append((doc_id, *sizes.tolist(), len(key), hashlib.sha256(written).hexdigest() if len(key) else ""))
                 keys.append(key)
                 n += len(key)
                 if n >= BLOCK_LINKS or len(rows) >= BLOCK_DOCS:

@@ -136,6 +136,10 @@ class PairRounds:
         return out
 
 
+def _weight(word, value) -> int:
+    return ENTRY_BYTES + len(word) + (len(value) if isinstance(value, bytes) else ENTRY_BYTES + sum(map(len, value)))
+
+
 class ByteMemo(dict):
     """Values by word, in two generations of bounded bytes: what is still in use moves on from the older
     one. A word in neither is noted, and is empty for now."""
@@ -154,12 +158,16 @@ class ByteMemo(dict):
         self.put(word, value)
         return value
 
-    def put(self, word, value: bytes) -> None:
+    def put(self, word, value) -> None:
+        """``value`` is bytes, or a tuple of them."""
         self[word] = value
-        self.held += ENTRY_BYTES + len(word) + len(value)
+        self.held += _weight(word, value)
+
+    def drop(self, word) -> None:
+        self.held -= _weight(word, self.pop(word))
 
     def age(self) -> None:
-        """Between texts: words too long to remember go, and a full generation becomes the older one."""
+        """Between texts: a full generation becomes the older one."""
         if self.held > self.most:
             self.older = dict(self)
             self.clear()
@@ -239,7 +247,7 @@ class ByteBpe:
         for words in held:
             yield b"".join(map(memo.__getitem__, words))
         for word in long:
-            memo.held -= ENTRY_BYTES + len(word) + len(memo.pop(word))
+            memo.drop(word)
 
     def _merge(self, words: list[str]) -> list[bytes]:
         if self.marks:
