@@ -354,6 +354,13 @@ _SLOTS = """
         INTERVAL 10 MINUTE)) AS moment)
 """
 
+# File days with a transaction whose latest cancellation is one of the newest ship days.
+_TOUCHED = """
+    SELECT DISTINCT file_date FROM tx WHERE transaction_id IN (
+        SELECT original_transaction_id FROM latest
+        WHERE file_date > (SELECT max(CAST(l_shipdate AS DATE)) - 7 FROM lineitem))
+"""
+
 ORACLE = {
     "q01_normalise_text": _with(
         "tx",
@@ -526,4 +533,23 @@ ORACLE = {
         '2024-01-17' AS gold_window_end FROM fact""",
         **_fact("file_date BETWEEN DATE '2024-01-15' AND DATE '2024-01-17'"),
     ),
+    "q33_late_cancellations": _with(
+        FACT_NEEDS,
+        f"""SELECT transaction_id, {_d('file_date')}, {_t('created_at')}, currency, {_c('amount_tgrk')},
+        cancellation_id, {_t('cancelled_at')}, is_cancelled, {_c('refund_amount_tgrk')}, {_c('net_amount_tgrk')},
+        duplicate_count, is_duplicate_transaction, user_segment, is_promo_found, rate_interval_id,
+        '2024-01-01' AS gold_window_start, '2024-01-31' AS gold_window_end,
+        file_date IN (SELECT file_date FROM touched) AS rewritten FROM fact""",
+        **_fact(),
+        touched=_TOUCHED,
+    ),
+    "q34_cube_of_touched_days": _with(
+        FACT_NEEDS,
+        """SELECT * REPLACE (CAST(event_date AS STRING) AS event_date), event_date IN (SELECT created_date FROM tx
+        WHERE created_date IS NOT NULL AND file_date IN (SELECT file_date FROM touched)) AS rewritten FROM cube""",
+        **_fact(),
+        touched=_TOUCHED,
+        cube=CUBE.format(where="true"),
+    ),
 }
+ORACLE["q35_latest_cancellations_kept"] = ORACLE["q07_latest_cancellation"]

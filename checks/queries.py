@@ -10,10 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import roles
-from ledgerwell.operators import asof, cancellations, cube, duplicates, facts, lookups, rates, silver
+from ledgerwell.operators import asof, cancellations, cube, duplicates, facts, latest, lookups, rates, silver
 from ledgerwell.operators.dictionaries import typed_dictionary
 from ledgerwell.operators.hotkeys import hot_keys, with_scatter
-from ledgerwell.plans import calendar, jobs
+from ledgerwell.plans import calendar, jobs, rebuild
 from ledgerwell.plans.audit import AUDIT_TABLE, LoadEvent, audited, table_counts
 from ledgerwell.schemas import TABLES, TRANSACTION_FLAGS
 from ledgerwell.session import configure, shared_folder, use_local_folder
@@ -503,3 +503,91 @@ def q32_rebuild_window(spark, sf_dir):
         "transaction_id", "file_date", "slot", "created_at", "duplicate_count", "duplicate_rank",
         "is_duplicate_transaction", "net_amount_tgrk", "gold_window_start", "gold_window_end",
     )
+
+
+LATE_DAYS = 7
+# The two days the cancellations are loaded on: all but the newest ship days, and these.
+FIRST_LOAD, LATE_LOAD = date(2024, 2, 1), date(2024, 2, 2)
+
+
+def _cancellations_in_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items of the last ship days come late, as a file of their own."""
+    every = silver_cancellations(spark, sf_dir)
+    newest = every.agg(F.max("file_date")).scalar()
+    late = F.col("file_date") > F.date_sub(newest, LATE_DAYS)
+    return every.withColumn("file_date", F.when(late, F.lit(LATE_LOAD)).otherwise(F.lit(FIRST_LOAD)))
+
+
+def _lake_before_late_cancellations(spark: SparkSession, sf_dir: str) -> Lake:
+    """Stored layers, with the fact and the cube built from the first load of cancellations."""
+    lake = stored_rates(spark, sf_dir)
+    lake.replace(jobs.INTERVALS, rates.rate_intervals(lake.read(jobs.RATES), START, END))
+    stamped = silver_transactions(spark, sf_dir).withColumns(
+        {"processed_at": F.lit(roles.LOADED_AT).cast("timestamp"), "slot": F.concat(F.substring("slot", 1, 1), F.lit("0-00"))}
+    )
+    lake.replace(jobs.TRANSACTIONS, stamped)
+    dictionaries = {"users": roles.users, "test_users": roles.test_users, "promo_codes": roles.promo_codes}
+    for name, table in dictionaries.items():
+        known = table(spark, sf_dir)
+        columns = TABLES[f"dictionaries/{name}"].schema.fields
+        missing = {f.name: F.lit(None).cast(f.dataType) for f in columns if f.name not in known.columns}
+        lake.replace(f"dictionaries/{name}", known.withColumns(missing) if missing else known)
+    both = _cancellations_in_two_loads(spark, sf_dir)
+    lake.replace(jobs.CANCELLATIONS, both.where(F.col("file_date") == F.lit(FIRST_LOAD)))
+    lake.ensure(latest.LATEST)
+    latest.merge_latest(lake, [FIRST_LOAD])
+    lake.replace(latest.PENDING, spark.createDataFrame([], TABLES[latest.PENDING].schema))
+    jobs.build_fact(lake, START, END)
+    jobs.export_cube(lake, START, END)
+    lake.overwrite_partitions(jobs.CANCELLATIONS, both.where(F.col("file_date") == F.lit(LATE_LOAD)))
+    return lake
+
+
+def _rewritten(lake: Lake, name: str, before: dict[str, set[str]], column: str) -> Column:
+    """Whether the files of a row's day are others than before; at most one entry per day."""
+    after = lake.files_of(name, lake.partition_values(name))
+    days = [day for day in after if after[day] != before.get(day)]
+    return F.col(column).cast("string").isin(days).alias("rewritten")
+
+
+@query
+def q33_late_cancellations(spark, sf_dir):
+    """The newest cancellations arrive after the fact was built: only file days they touch are replaced."""
+    lake = _lake_before_late_cancellations(spark, sf_dir)
+    before = lake.files_of(jobs.FACT, lake.partition_values(jobs.FACT))
+    rebuild.apply_cancellations(lake, [LATE_LOAD])
+    rewritten = _rewritten(lake, jobs.FACT, before, "file_date")
+    return shown(
+        lake.read(jobs.FACT).withColumn("rewritten", rewritten),
+        "transaction_id", "file_date", "created_at", "currency", "amount_tgrk", "cancellation_id", "cancelled_at",
+        "is_cancelled", "refund_amount_tgrk", "net_amount_tgrk", "duplicate_count", "is_duplicate_transaction",
+        "user_segment", "is_promo_found", "rate_interval_id", "gold_window_start", "gold_window_end", "rewritten",
+    )
+
+
+@query
+def q34_cube_of_touched_days(spark, sf_dir):
+    """The cube after late cancellations: only event days of the replaced file days are replaced."""
+    lake = _lake_before_late_cancellations(spark, sf_dir)
+    before = lake.files_of(jobs.CUBE, lake.partition_values(jobs.CUBE))
+    rebuild.apply_cancellations(lake, [LATE_LOAD])
+    return shown(lake.read(jobs.CUBE).withColumn("rewritten", _rewritten(lake, jobs.CUBE, before, "event_date")))
+
+
+@query
+def q35_latest_cancellations_kept(spark, sf_dir):
+    """The table of latest cancellations after two loads, of which the second is then loaded anew without its
+    dated rows, and a third time whole."""
+    lake = scratch_lake(spark)
+    both = _cancellations_in_two_loads(spark, sf_dir)
+    late = both.where(F.col("file_date") == F.lit(LATE_LOAD))
+    lake.ensure(latest.PENDING)
+    for day, rows in (
+        (FIRST_LOAD, both.where(F.col("file_date") == F.lit(FIRST_LOAD))),
+        (LATE_LOAD, late),
+        (LATE_LOAD, late.where(F.col("cancelled_at").isNull())),
+        (LATE_LOAD, late),
+    ):
+        lake.overwrite_values(jobs.CANCELLATIONS, rows, [day])
+        latest.merge_latest(lake, [day])
+    return shown(lake.read(latest.LATEST), *[c for c in ("original_transaction_id", *latest.KEPT_COLUMNS)])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -35,9 +36,18 @@ def hourly_cube(fact: DataFrame, start: str | date, end: str | date) -> DataFram
 
     ``unique_users_count`` is exact within a cell and must not be added up across cells.
     """
-    placed = fact.where(in_days("created_date", start, end) & F.col("created_at").isNotNull())
+    return _cells(fact.where(in_days("created_date", start, end)))
+
+
+def hourly_cube_of(fact: DataFrame, event_days: Sequence[date]) -> DataFrame:
+    """Cells of single event days; ``fact`` may be any part of the fact that holds all their rows."""
+    return _cells(fact.where(F.col("created_date").isin(list(event_days))))
+
+
+def _cells(fact: DataFrame) -> DataFrame:
     return (
-        placed.groupBy(
+        fact.where(F.col("created_at").isNotNull())
+        .groupBy(
             F.col("created_date").alias("event_date"),
             F.hour("created_at").cast("tinyint").alias("event_hour"),
             _known("currency"),

@@ -32,18 +32,19 @@ def _rank_order() -> list[Column]:
     return [F.col(name).desc_nulls_last() for name in _NEWEST_FIRST] + [F.col(name) for name in _TIE_BREAKS]
 
 
-def mark_duplicates(df: DataFrame, hot: Sequence[int] = ()) -> DataFrame:
+def mark_duplicates(df: DataFrame, hot: Sequence[int] = (), within: Sequence[str] = ()) -> DataFrame:
     """Add ``duplicate_count``, ``duplicate_rank``, ``is_duplicate_transaction`` and ``_spread``.
 
     ``df`` carries ``_scatter`` (see ``with_scatter``). Rows without an id get NULL marks and are spread over tasks. Ids listed in ``hot`` are ranked
-    across many tasks (see ``_rank_hot``), all others within their own group.
+    across many tasks (see ``_rank_hot``), all others within their own group. ``within`` names columns that
+    part the rows further: ids are compared only where these are equal.
     """
     spread = with_spread(df, KEY)
     if not hot:
-        marked = _rank_grouped(spread)
+        marked = _rank_grouped(spread, within)
     else:
         is_hot = F.coalesce(F.col(KEY).isin(*hot), F.lit(False))
-        marked = _rank_grouped(spread.where(~is_hot)).unionByName(_rank_hot(spread.where(is_hot), len(hot)))
+        marked = _rank_grouped(spread.where(~is_hot), within).unionByName(_rank_hot(spread.where(is_hot), within))
     has_id = F.col(KEY).isNotNull()
     return marked.withColumns(
         {
@@ -54,8 +55,11 @@ def mark_duplicates(df: DataFrame, hot: Sequence[int] = ()) -> DataFrame:
     ).drop("_count", "_rank")
 
 
-def _rank_grouped(df: DataFrame) -> DataFrame:
-    group = Window.partitionBy(KEY, SPREAD)
+def _rank_grouped(df: DataFrame, within: Sequence[str]) -> DataFrame:
+    if within:
+        # Dealt out by the keys of the cancellation join, which then needs no shuffle of its own.
+        df = df.repartition(KEY, SPREAD)
+    group = Window.partitionBy(KEY, SPREAD, *within)
     return df.withColumns(
         {
             "_rank": F.row_number().over(group.orderBy(*_rank_order())),
@@ -64,7 +68,7 @@ def _rank_grouped(df: DataFrame) -> DataFrame:
     )
 
 
-def _rank_hot(df: DataFrame, keys: int) -> DataFrame:
+def _rank_hot(df: DataFrame, within: Sequence[str]) -> DataFrame:
     """Exact ranks of few ids with very many rows each.
 
     The rows are cut into blocks along the rank order; a row's rank is the number of rows of its
@@ -78,27 +82,28 @@ def _rank_hot(df: DataFrame, keys: int) -> DataFrame:
     folder = f"{shared_folder(spark)}/ranked-{uuid4()}"
     (
         df.withColumn("_seat", F.monotonically_increasing_id())
-        .repartitionByRange(blocks, F.col(KEY), *order)
+        .repartitionByRange(blocks, F.col(KEY), *within, *order)
         .withColumn("_block", F.spark_partition_id())
         .write.parquet(folder)
     )
     staged = spark.read.parquet(folder)
-    by_key = Window.partitionBy(KEY)
+    by_key = Window.partitionBy(KEY, *within)
     earlier = by_key.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    # Blocks follow one another, so there are fewer than keys + blocks of these rows.
+    # Blocks follow one another, so there are fewer of these rows than groups and blocks together.
     sizes = (
-        staged.groupBy(KEY, "_block")
+        staged.groupBy(KEY, *within, "_block")
         .agg(F.count(F.lit(1)).alias("_rows"))
         .select(
             KEY,
+            *within,
             "_block",
             F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
             F.sum("_rows").over(by_key).alias("_count"),
         )
     )
-    position = F.row_number().over(Window.partitionBy(KEY, "_block").orderBy(*order))
+    position = F.row_number().over(Window.partitionBy(KEY, *within, "_block").orderBy(*order))
     return (
-        staged.join(F.broadcast(sizes), [KEY, "_block"])
+        staged.join(F.broadcast(sizes), [KEY, *within, "_block"])
         .withColumns({"_rank": (F.col("_before") + position).cast("int"), SPREAD: F.col(SCATTER) % HOT_SPREAD})
         .select(*df.columns, "_rank", "_count")
     )

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import date
+from collections.abc import Mapping, Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,15 +40,17 @@ _RENAMED = {
 
 def transactions_in_window(silver_transactions: DataFrame, start: str | date, end: str | date) -> DataFrame:
     """The columns the fact keeps, for files of the inclusive day window."""
+    return _kept_columns(silver_transactions.where(in_days("file_date", start, end)))
+
+
+def _kept_columns(silver_transactions: DataFrame) -> DataFrame:
     kept = (
         *"transaction_id user_id user_uuid amount currency transaction_type status promo_code_id".split(),
         *"created_at created_date file_date slot source_file raw_bucket raw_object_path".split(),
         *_RENAMED,
         *TRANSACTION_FLAGS,
     )
-    return silver_transactions.where(in_days("file_date", start, end)).select(
-        *[F.col(name).alias(_RENAMED.get(name, name)) for name in kept]
-    )
+    return silver_transactions.select(*[F.col(name).alias(_RENAMED.get(name, name)) for name in kept])
 
 
 # Each of these adds columns in steps: a later step names what an earlier one made instead of
@@ -195,13 +198,59 @@ def enriched_fact(
     """
     base = transactions_in_window(transactions, start, end)
     hot = hot_keys(base, "transaction_id", hot_rows)
-    joined = mark_duplicates(with_scatter(base), hot)
-    joined = attach_cancellations(joined, latest_cancellations(cancellations), hot)
+    marked = mark_duplicates(with_scatter(base), hot)
+    sizes = {"keys_from": base, "broadcast_rows": broadcast_rows, "hot_rows": hot_rows}
+    lookups = {"users": users, "test_users": test_users, "promo_codes": promo_codes, "intervals": intervals}
+    joined = _looked_up(marked, hot, latest_cancellations(cancellations), lookups, sizes)
+    return joined.transform(with_stamps, start, end).select(*FACT_COLUMNS)
+
+
+def enriched_days(
+    transactions: DataFrame,
+    windows: Mapping[date, tuple[date, date]],
+    *,
+    users: DataFrame,
+    test_users: DataFrame,
+    promo_codes: DataFrame,
+    intervals: DataFrame,
+    latest: DataFrame,
+    hot_rows: int = HOT_ROWS,
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """The fact rows of single file days, each as a build of its window would make them.
+
+    ``windows`` names the days and the window of each; duplicates of a day are those of its window. Only
+    partitions of these windows are read, and only rows of the days themselves are looked up. ``latest`` is
+    the newest cancellation per transaction (see ``latest.merge_latest``).
+    """
+    spans = sorted(set(windows.values()))
+    read = sorted({start + timedelta(days=n) for start, end in spans for n in range((end - start).days + 1)})
+    base = _kept_columns(transactions.where(F.col("file_date").isin(read)))
+    hot = hot_keys(base, "transaction_id", hot_rows)
+    span = F.array(*[F.struct(F.lit(a).alias("gold_window_start"), F.lit(b).alias("gold_window_end")) for a, b in spans])
+    covers = F.filter(span, lambda s: F.col("file_date").between(s["gold_window_start"], s["gold_window_end"]))
+    # A row takes part in every window that holds its day.
+    parted = with_scatter(base).withColumn("_span", F.explode(covers))
+    parted = parted.withColumn("_window", F.concat_ws("/", "_span.gold_window_start", "_span.gold_window_end"))
+    marked = mark_duplicates(parted, hot, ["_window"])
+    own = F.map_from_arrays(F.array(*[F.lit(day) for day in windows]), F.array(*[F.lit(f"{a}/{b}") for a, b in windows.values()]))
+    marked = marked.where(F.col("_window") == F.try_element_at(own, F.col("file_date"))).drop("_window")
     sizes = {"keys_from": base, "broadcast_rows": broadcast_rows, "hot_rows": hot_rows}
-    joined = attach_users(joined, users, **sizes)
-    joined = attach_test_users(joined, test_users, **sizes)
-    joined = attach_promo_codes(joined, promo_codes, **sizes)
-    joined = attach_rates(joined, intervals, **sizes)
+    lookups = {"users": users, "test_users": test_users, "promo_codes": promo_codes, "intervals": intervals}
+    joined = _looked_up(marked, hot, latest, lookups, sizes)
+    stamps = {"gold_window_start": F.col("_span.gold_window_start"), "gold_window_end": F.col("_span.gold_window_end")}
+    return joined.withColumns(
+        {"is_canonical_transaction": F.lit(True), "gold_processed_at": F.current_timestamp(), **stamps}
+    ).select(*FACT_COLUMNS)
+
+
+def _looked_up(marked: DataFrame, hot: Sequence[int], latest: DataFrame, lookups: dict[str, DataFrame], sizes: dict) -> DataFrame:
+    """Marked transactions with cancellations, dictionaries, rates, and all that follows from them."""
+    joined = attach_cancellations(marked, latest, hot)
+    joined = attach_users(joined, lookups["users"], **sizes)
+    joined = attach_test_users(joined, lookups["test_users"], **sizes)
+    joined = attach_promo_codes(joined, lookups["promo_codes"], **sizes)
+    joined = attach_rates(joined, lookups["intervals"], **sizes)
     return (
         joined.transform(with_business_flags)
         .transform(with_user_state)
@@ -209,6 +258,4 @@ def enriched_fact(
         .transform(with_rate_state)
         .transform(with_net_amount)
         .transform(with_cancellation_state)
-        .transform(with_stamps, start, end)
-        .select(*FACT_COLUMNS)
     )

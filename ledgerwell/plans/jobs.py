@@ -19,7 +19,7 @@ from ledgerwell.operators.silver import clean_cancellations, clean_rates, clean_
 from ledgerwell.plans.audit import LoadEvent, audited, new_run_id
 from ledgerwell.schemas import RAW_DICTIONARIES
 from ledgerwell.sources import jsonl
-from ledgerwell.sources.lake import Lake, write_json_lines
+from ledgerwell.sources.lake import Lake, in_days, write_json_lines
 
 TRANSACTIONS = "silver/transactions_clean"
 RATES = "silver/exchange_rates_clean"
@@ -27,6 +27,7 @@ CANCELLATIONS = "silver/cancellations_clean"
 CANCELLATIONS_BRONZE = "bronze/cancellations_raw"
 INTERVALS = "gold/dim_exchange_rate_intervals"
 FACT = "gold/fct_transactions_enriched"
+FACT_DAYS = "gold/fact_days"
 CUBE = "serving/transactions_cube_hourly"
 
 
@@ -155,6 +156,12 @@ def load_reference(lake: Lake, name: str, path: str) -> int:
     return lake.replace_untyped(f"reference/{name}", loaded)
 
 
+def day_map(fact: DataFrame) -> DataFrame:
+    """Which event days the files of a day hold, with row counts, and the window the day was built in."""
+    keys = ("file_date", "created_date", "gold_window_start", "gold_window_end")
+    return fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count"))
+
+
 def _window_event(job: str, source: str, target: str, prefix: str, start, end, run_id: str | None) -> LoadEvent:
     return LoadEvent(
         run_id=run_id or new_run_id(),
@@ -200,6 +207,7 @@ def build_fact(lake: Lake, start: str | date, end: str | date, *, run_id: str |
     )
     with audited(lake, event):
         rows = lake.overwrite_days(FACT, fact_of(lake, start, end, **sizes), start, end)
+        lake.overwrite_days(FACT_DAYS, day_map(lake.read(FACT).where(in_days("file_date", start, end))), start, end)
         event.rows_read = event.rows_written = rows
     return rows
 

@@ -164,6 +164,18 @@ TABLES = {
         "gold_window_start DATE, gold_window_end DATE, gold_processed_at TIMESTAMP",
         "file_date",
     ),
+    "gold/latest_cancellations": _table(
+        "cancellation_id BIGINT, original_transaction_id BIGINT, cancellation_reason STRING, cancelled_at TIMESTAMP, "
+        "cancelled_date DATE, refund_amount DECIMAL(18,2), negative_refund_amount BOOLEAN, "
+        "is_valid_cancellation BOOLEAN, cancellation_validation_errors ARRAY<STRING>, processed_at TIMESTAMP, "
+        "source_day DATE, bucket BIGINT",
+        "bucket",
+    ),
+    "control/pending_cancellations": _table("original_transaction_id BIGINT"),
+    "gold/fact_days": _table(
+        "created_date DATE, row_count BIGINT, gold_window_start DATE, gold_window_end DATE, file_date DATE",
+        "file_date",
+    ),
     "serving/transactions_cube_hourly": _table(
         "event_date DATE, event_hour TINYINT, currency STRING, transaction_type STRING, status STRING, "
         "user_segment STRING, is_purchase_type TINYINT, is_completed_status TINYINT, "

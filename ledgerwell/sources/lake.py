@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Mapping
+from collections.abc import Callable, Iterable, Mapping
 from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -100,24 +98,43 @@ class Lake:
         """
         day_column = TABLES[name].partitioned_by[0]
         start, end = as_date(start), as_date(end)
-        before = self._files_of_days(name, start, end)
-        counted, seen = self._counted(self._clustered(name, self._conformed(name, df).where(in_days(day_column, start, end))))
+
+        def inside() -> list[str]:
+            return [v for v in self.partition_values(name) if start.isoformat() <= v <= end.isoformat()]
+
+        return self._overwrite_only(name, df.where(in_days(day_column, start, end)), inside)
+
+    def overwrite_values(self, name: str, df: DataFrame, values: Iterable) -> int:
+        """Replace exactly the partitions ``values`` of a table partitioned by one column, wherever they
+        lie; those without rows in ``df`` end up empty, and no other partition is looked at."""
+        values = list(values)
+        column = TABLES[name].partitioned_by[0]
+        return self._overwrite_only(name, df.where(F.col(column).isin(values)), lambda: [str(v) for v in values])
+
+    def _overwrite_only(self, name: str, df: DataFrame, concerned: Callable[[], list[str]]) -> int:
+        column = TABLES[name].partitioned_by[0]
+        before = self.files_of(name, concerned())
+        counted, seen = self._counted(self._clustered(name, self._conformed(name, df)))
         self._overwrite_present(name, counted)
-        stale = {before[file] for file in self._files_of_days(name, start, end).keys() & before.keys()}
-        self._remove([self._partition_path(name, {day_column: day.isoformat()}) for day in sorted(stale)])
+        after = self.files_of(name, before)
+        stale = sorted(value for value in before if before[value] & after[value])
+        self._remove([self._partition_path(name, {column: value}) for value in stale])
         return seen.get["rows"]
 
-    def _files_of_days(self, name: str, start: date, end: date) -> dict[str, date]:
-        """The stored files of the days ``start..end``, by path."""
-        day_of = re.compile(rf"/{TABLES[name].partitioned_by[0]}=(\d{{4}}-\d\d-\d\d)/")
-        try:
-            files = self.spark.read.schema(TABLES[name].schema).parquet(self.path(name)).inputFiles()
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return {}
-        days = {file: date.fromisoformat(m[1]) for file in files if (m := day_of.search(file))}
-        return {file: day for file, day in days.items() if start <= day <= end}
+    def partition_values(self, name: str) -> list[str]:
+        """The values of the one partition column that have a folder; their files are not listed."""
+        mark = f"{TABLES[name].partitioned_by[0]}="
+        return sorted(f.removeprefix(mark) for f in self._children(self.path(name)) if f.startswith(mark))
+
+    def files_of(self, name: str, values: Iterable[str]) -> dict[str, set[str]]:
+        """The stored files of single partitions, by value of the one partition column; data is not read."""
+        column = TABLES[name].partitioned_by[0]
+        return {value: set(self._children(self._partition_path(name, {column: value}))) for value in values}
+
+    def _children(self, path: str) -> list[str]:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        system = folder.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+        return [f.getPath().getName() for f in system.listStatus(folder)] if system.exists(folder) else []
 
     def _remove(self, paths: list[str]) -> None:
         """Remove partition folders; a matter of the file system, without a Spark job."""
