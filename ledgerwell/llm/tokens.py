@@ -14,7 +14,7 @@ import numpy as np
 
 PIECE_CHARS = 1 << 20
 GROUP_CHARS = 1 << 16
-REMEMBERED = 500_000
+REMEMBERED = 250_000
 WORDS_AT_ONCE = 2000
 _TAIL = ",.;:!?"
 # Below this all letters have one lower-case letter each and no other composed form.
