@@ -9,7 +9,6 @@ Pieces then find their place by their rank among pieces of equal length.
 from __future__ import annotations
 
 import bisect
-import ctypes
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -20,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwell.llm.ranking import RANK, TASK, ranked
-from ledgerwell.llm.shared import lean, stage
+from ledgerwell.llm.shared import give_back, lean, stage
 from ledgerwell.llm.tokens import ChunkEncoder
 
 CAPACITY = 2048
@@ -28,14 +27,6 @@ END_ID = 0
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def _give_back() -> None:
-    """Hand what earlier stages of a worker freed back to the system, where the C library can."""
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim:
-        trim(0)
-
-
 def encode_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, *, ids: bool = False) -> DataFrame:
     """Each document's ids and a final ``END_ID``, cut into pieces of ``capacity``; the last may be shorter.
 
@@ -45,7 +36,7 @@ def encode_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, *,
     end = np.array([END_ID], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _give_back()
+        give_back()  # what earlier stages of this worker freed
         encoder = ChunkEncoder.of(tokenizer)
         for batch in batches:
             rows, tokens = [], []

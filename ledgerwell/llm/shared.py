@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -25,13 +26,21 @@ def prepared(spark: SparkSession) -> SparkSession:
     return use_local_folder(spark)
 
 
+def give_back() -> None:
+    """Hand unused memory of this worker back to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """``run`` for ``mapInArrow``; at a partition's end Arrow's unused memory goes back to the system,
-    because the worker lives on for other stages."""
+    """``run`` for ``mapInArrow``; at a partition's end unused memory goes back to the system, because the
+    worker lives on for other stages."""
 
     def through(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from run(batches)
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     return through
 
@@ -53,6 +62,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(name: str, taken: Iterable[str]) -> str:
+    """``name``, with underscores before it until no column is called so; Spark ignores case."""
+    known = {c.lower() for c in taken}
+    while name.lower() in known:
+        name = f"_{name}"
+    return name
+
+
 def crc32_of_id(doc_id: str = "doc_id") -> F.Column:
     """crc32 of the id's decimal text; a missing id counts as the empty text."""
     return F.crc32(F.encode(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), "UTF-8"))

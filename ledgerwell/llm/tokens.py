@@ -14,7 +14,11 @@ import numpy as np
 
 PIECE_CHARS = 1 << 20
 GROUP_CHARS = 1 << 16
+# Chunks of one generation of the memo, and bytes of the chunks and ids learned in it.
 REMEMBERED = 250_000
+REMEMBERED_BYTES = 16 << 20
+# Longer chunks are forgotten once their texts are done: blobs seldom come again.
+LONGEST_REMEMBERED = 64
 WORDS_AT_ONCE = 2000
 _TAIL = ",.;:!?"
 # Below this all letters have one lower-case letter each and no other composed form.
@@ -67,6 +71,8 @@ class ChunkEncoder:
         self.ends_word = np.zeros(max(vocab.values()) + 1, bool)
         self.ends_word[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
         self.memo = _Memo({})
+        self.learned_bytes = 0
+        self.passing: list[str] = []
 
     @staticmethod
     def of(path: str) -> ChunkEncoder:
@@ -96,9 +102,13 @@ class ChunkEncoder:
         yield from held
 
     def _meet(self, held: list[list[list[str]]]) -> None:
-        if len(self.memo) > REMEMBERED:
+        for chunk in self.passing:
+            self.memo.pop(chunk, None)
+        self.passing = []
+        if len(self.memo) > REMEMBERED or self.learned_bytes > REMEMBERED_BYTES:
             self.memo.older = {}
             self.memo = _Memo(self.memo)
+            self.learned_bytes = 0
         memo = self.memo
         for pieces in held:
             for chunks in pieces:
@@ -126,6 +136,8 @@ class ChunkEncoder:
         self._whole(list(whole))
         for chunk, low, tail in parts:
             memo[chunk] = memo[low] + memo[tail] if tail else memo[low]
+        self.passing = [c for c in (*chunks, *words, *whole) if len(c) > LONGEST_REMEMBERED]
+        self.learned_bytes += sum(map(len, chunks)) + sum(map(len, map(memo.__getitem__, chunks)))
 
     def _whole(self, chunks: list[str]) -> None:
         for chunk, e in zip(chunks, self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False), strict=True):
