@@ -25,23 +25,30 @@ def _letters() -> np.ndarray:
     return _is_letter
 
 
-def gram_codes(text: str) -> np.ndarray:
-    """All n-grams of the lower-cased text as numbers. Runs of other than letters are one word border (0)."""
-    points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
-    points = np.where(_letters()[points], points, 0)
-    points = np.concatenate(([0], points, [0]))
-    points = points[np.concatenate(([True], (points[1:] != 0) | (points[:-1] != 0)))]
-    pairs = points[:-1] << 21 | points[1:]
-    threes = pairs[:-1] << 21 | points[2:]
-    # A border alone, or borders around nothing, say nothing.
-    return np.concatenate((points[points != 0] | 1 << 62, pairs | 1 << 61, threes[points[1:-1] != 0]))
-
-
-def counted(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct n-grams and their counts; long texts in blocks."""
-    if len(text) <= _BLOCK:
-        return np.unique(gram_codes(text), return_counts=True)
-    parts = [np.unique(gram_codes(text[i : i + _BLOCK]), return_counts=True) for i in range(0, len(text), _BLOCK)]
+def gram_codes(text: str, block: int = _BLOCK) -> Iterator[np.ndarray]:
+    """All n-grams of the lower-cased text as numbers, in blocks. Runs of other than letters are one word
+    border (0), also at both ends of the text; each block goes on from the last two symbols of the one before."""
+    low = text.lower()
+    tail = np.zeros(1, np.int64)
+    for i in range(0, max(len(low), 1), block):
+        points = np.frombuffer(low[i : i + block].encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+        points = np.where(_letters()[points], points, 0)
+        points = np.concatenate((tail, points, [0] if i + block >= len(low) else []), dtype=np.int64, casting="unsafe")
+        points = points[np.concatenate(([True], (points[1:] != 0) | (points[:-1] != 0)))]
+        known = len(tail)
+        new = points[known:]
+        pairs = points[:-1] << 21 | points[1:]
+        threes = pairs[:-1] << 21 | points[2:]
+        # A border alone, or borders around nothing, say nothing.
+        yield np.concatenate((new[new != 0] | 1 << 62, pairs[known - 1 :] | 1 << 61, threes[points[1:-1] != 0]))
+        tail = points[-2:]
+
+
+def counted(text: str, block: int = _BLOCK) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-grams and their counts; long texts in blocks, which change nothing."""
+    parts = [np.unique(codes, return_counts=True) for codes in gram_codes(text, block)]
+    if len(parts) == 1:
+        return parts[0]
     codes, where = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
     return codes, np.bincount(where, np.concatenate([n for _, n in parts])).astype(np.int64)
 
@@ -69,7 +76,9 @@ def profiles(labelled: DataFrame, ranks: int = RANKS) -> DataFrame:
     used = labelled.select(F.col("text").cast("string"), F.col("lang").cast("string")).where("text is not null and lang is not null")
     counts = used.mapInArrow(run, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "code")
-    return counts.withColumn("place", F.row_number().over(order) - 1).where(F.col("place") < ranks).select("lang", "code", "place")
+    # The bare row number lets Spark keep only the first ranks of each task before the shuffle.
+    first = counts.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= ranks)
+    return first.select("lang", "code", (F.col("nth") - 1).alias("place"))
 
 
 def predict(docs: DataFrame, learned: DataFrame, ranks: int = RANKS) -> DataFrame:
