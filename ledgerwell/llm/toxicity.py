@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerwell.llm.shared import lean, stage
+from ledgerwell.llm.shared import free_name, lean, stage
 
 # Characters that stand for Latin letters. Cyrillic and Greek look-alikes, then digits and signs.
 HOMOGLYPHS = {
@@ -139,32 +139,35 @@ def automaton(lexicon: Sequence[tuple[str, float]], exceptions: Sequence[str] =
     return machine
 
 
+def _blocks(text: str, size: int = _BLOCK) -> Iterator[str]:
+    """The text in blocks of about ``size`` code points, cut before a blank: folding each folds the whole."""
+    at = 0
+    while at < len(text):
+        cut = text.find(" ", at + size)
+        stop = len(text) if cut < 0 else cut
+        yield text[at:stop]
+        at = stop
+
+
 def evidence(text: str | None, machine: ahocorasick.Automaton | None) -> tuple[float, int]:
     """Summed weights of the matched words, each by its heaviest term, and the number of words."""
     if not text or machine is None:
         return 0.0, 0
-    total, words = 0.0, 0
-    at = 0
-    while at < len(text):
-        stop = at + _BLOCK
-        if stop < len(text):
-            cut = text.find(" ", stop)
-            stop = len(text) if cut < 0 else cut
-        folded = f" {fold(text[at:stop])} "
-        at = stop
+    words = 0
+    best: dict[int, float] = {}
+    spared: set[int] = set()
+    search = machine.iter(" ")
+    for block in (*_blocks(text), None):
+        folded = " " if block is None else fold(block)
         words += len(folded.split())
-        best: dict[int, float] = {}
-        spared: list[tuple[int, int]] = []
-        for end, (length, weight) in machine.iter(folded):
+        search.set(folded, False)  # goes on where the block before ended
+        for end, (length, weight) in search:
             start = end - length
             if weight is None:
-                spared.append((start, end))
+                spared.update(range(start, end))
             elif weight > best.get(start, 0.0):
                 best[start] = weight
-        for start, end in spared:
-            best = {s: w for s, w in best.items() if not start <= s < end}
-        total += sum(best.values())
-    return total, words
+    return sum(w for s, w in best.items() if s not in spared), words
 
 
 def density(total: float, words: int) -> float:
@@ -189,8 +192,15 @@ def fit_scale(values: np.ndarray, labels: np.ndarray, times: np.ndarray) -> tupl
     return max(float(w[0]), 1e-6), float(w[1])
 
 
+def found_names(keep: Sequence[str]) -> list[str]:
+    """_words, _evidence and _density, or names that no kept column has."""
+    return [free_name(name, keep) for name in ("_words", "_evidence", "_density")]
+
+
 def matched(docs: DataFrame, lexicon: list[tuple[str, float]], exceptions: Sequence[str] = EXCEPTIONS, keep: Sequence[str] = ()) -> DataFrame:
-    """``keep`` columns as they are, then words, evidence and density of every whole text."""
+    """``keep`` columns as they are, then words, evidence and density of every whole text, under the names
+    ``found_names(keep)``."""
+    names = found_names(keep)
     shared = docs.sparkSession.sparkContext.broadcast((lexicon, tuple(exceptions)))
     chosen = docs.select(*keep, *([] if "text" in keep else ["text"]))
 
@@ -199,10 +209,10 @@ def matched(docs: DataFrame, lexicon: list[tuple[str, float]], exceptions: Seque
         for b in batches:
             found = [evidence(t, machine) for t in b.column(b.schema.get_field_index("text")).to_pylist()]
             made = [pa.array([n for _, n in found], pa.int64()), pa.array([t for t, _ in found], pa.float64()), pa.array([density(t, n) for t, n in found], pa.float64())]
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], *made], [*keep, "_words", "_evidence", "_density"])
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], *made], [*keep, *names])
 
     schema = docs.select(*keep).schema
-    for name, kind in (("_words", "long"), ("_evidence", "double"), ("_density", "double")):
+    for name, kind in zip(names, ("long", "double", "double"), strict=True):
         schema = schema.add(name, kind)
     return chosen.mapInArrow(lean(run), schema)
 
@@ -219,13 +229,14 @@ def learn(docs: DataFrame, labels: DataFrame) -> tuple[list[tuple[str, float]],
     return lexicon, fit_scale(*columns)
 
 
-def score(docs: DataFrame, model: tuple[list[tuple[str, float]], tuple[float, float]], keep: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns and ``_score``, 0 to 1, of every row by its ``text`` alone.
+def score(docs: DataFrame, model: tuple[list[tuple[str, float]], tuple[float, float]], keep: Sequence[str] = ("doc_id",), name: str = "_score") -> DataFrame:
+    """``keep`` columns and the score, 0 to 1, of every row by its ``text`` alone; ``name`` is free in ``keep``.
 
     Null and empty texts, and texts without a match, have the score of no evidence. Rows are scored one
     by one, so repeated rows score alike; other columns pass through if named in ``keep``.
     """
     lexicon, (slope, base) = model
-    z = F.col("_density") * F.lit(slope) + F.lit(base)
-    found = matched(docs, lexicon, keep=keep)
-    return found.withColumn("_score", F.lit(1.0) / (F.lit(1.0) + F.exp(-z))).select(*keep, "_score")
+    if free_name(name, keep) != name:
+        raise ValueError(f"a kept column is called {name}")
+    z = F.col(found_names(keep)[2]) * F.lit(slope) + F.lit(base)
+    return matched(docs, lexicon, keep=keep).select(*keep, (F.lit(1.0) / (F.lit(1.0) + F.exp(-z))).alias(name))
