@@ -265,20 +265,25 @@ def redact(docs: DataFrame, precision: float = PRECISION) -> DataFrame:
     """
     spark = docs.sparkSession
     kinds = F.array(*[F.lit(k) for k in KINDS])
-    along = Window.partitionBy("_key").orderBy("start", "nth", "end")
+    own = ["doc_id", "_key"]
+    along = Window.partitionBy(*own).orderBy("start", "nth", "end")
     spans = find_spans(docs, precision).withColumn("nth", F.array_position(kinds, F.col("kind"))).distinct()
     reach = F.max("end").over(along.rowsBetween(Window.unboundedPreceding, -1))
     islands = spans.withColumn("_new", (F.col("start") >= F.coalesce(reach, F.lit(-1))).cast("int")).withColumn("_island", F.sum("_new").over(along))
-    one = islands.groupBy("_key", "_island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min_by("kind", F.struct("start", "nth", "end")).alias("kind"))
+    one = islands.groupBy(*own, "_island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min_by("kind", F.struct("start", "nth", "end")).alias("kind"))
     # Each kept stretch of text before a span, and what stands for the span.
-    before = F.lag("end", 1, 0).over(Window.partitionBy("_key").orderBy("start"))
-    steps = one.withColumn("from", before).groupBy("_key").agg(
+    before = F.lag("end", 1, 0).over(Window.partitionBy(*own).orderBy("start"))
+    steps = one.withColumn("from", before).groupBy(*own).agg(
         F.array_sort(F.collect_list(F.struct(F.col("start"), F.col("from"), F.concat(F.lit("["), F.upper("kind"), F.lit("]")).alias("mark"), F.col("end")))).alias("_steps")
     )
     steps = stage(steps, "redactions")
     few = steps.count() <= BROADCAST_ROWS
-    keyed = docs.withColumn("_key", F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    met = keyed.join(F.broadcast(steps) if few else steps, "_key", "left")
-    kept = F.transform("_steps", lambda s: F.concat(F.substring(F.col("text"), (s["from"] + 1).cast("int"), (s["start"] - s["from"]).cast("int")), s["mark"]))
-    rest = F.substring(F.col("text"), (F.element_at("_steps", -1)["end"] + 1).cast("int"), F.length("text"))
-    return met.withColumn("text", F.when(F.col("_steps").isNull(), F.col("text")).otherwise(F.concat(F.array_join(kept, ""), rest))).select(*docs.columns)
+    # The row as one struct, so that its columns may be called like the helpers.
+    row, text = F.col("_row"), F.col("_row")["text"]
+    keyed = docs.select(F.struct(*docs.columns).alias("_row")).withColumn("_row_key", F.xxhash64(row["doc_id"].cast("long"), F.coalesce(text.cast("string"), F.lit(""))))
+    same = (F.col("_row_key") == F.col("_key")) & row["doc_id"].cast("long").eqNullSafe(F.col("doc_id"))
+    met = keyed.join(F.broadcast(steps) if few else steps, same, "left")
+    kept = F.transform("_steps", lambda s: F.concat(F.substring(text, (s["from"] + 1).cast("int"), (s["start"] - s["from"]).cast("int")), s["mark"]))
+    rest = F.substring(text, (F.element_at("_steps", -1)["end"] + 1).cast("int"), F.length(text))
+    redacted = F.when(F.col("_steps").isNull(), text).otherwise(F.concat(F.array_join(kept, ""), rest))
+    return met.select(*[redacted.alias(c) if c == "text" else row[c].alias(c) for c in docs.columns])
