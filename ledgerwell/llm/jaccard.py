@@ -276,7 +276,8 @@ def candidate_edges(docs: DataFrame, sets: DataFrame, width: int, parts: int, wh
     texts = docs.where("doc_id is not null").select(F.col("text").cast("string"))
     keyed = texts.mapInArrow(lean(lambda batches: _gathered(batches, width, parts, whole)), "dest long, node long, key long")
     met = keyed.repartition("dest").sortWithinPartitions("dest", "node").mapInArrow(lean(_met), "key long, node long")
-    met = stage(met, "buckets")
+    # Batches repeat pairs; a pair that came twice would cancel itself in its bucket's name.
+    met = stage(met.distinct(), "buckets")
     # Near copies meet in many buckets of the same sets; one of those buckets is enough.
     named = met.groupBy("key").agg(F.bit_xor(F.xxhash64("node")).alias("bucket"))
     named = stage(named, "bucket-names").withColumnRenamed("key", "_key")
@@ -398,14 +399,16 @@ def without_near_copies(docs: DataFrame, width: int = 5, parts: int = 4, whole:
     pair = [F.col("doc_id").alias("_id"), F.col("copy").alias("_copy")]
     gone = stage(groups.where(own != F.col("_keeper")).select(*pair).distinct(), "linked")
     few = gone.count() <= BROADCAST_ROWS
-    marked = docs.withColumn("_hash", _copy())
-    on = lambda table: (F.col("doc_id") == table["_id"]) & (F.col("_hash") == table["_copy"])
+    # The row as one struct, so that its columns may be called like the helpers.
+    row = [F.col("_row")[c].alias(c) for c in docs.columns]
+    marked = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").alias("_of"), _copy().alias("_hash"))
+    on = lambda table: (F.col("_of") == table["_id"]) & (F.col("_hash") == table["_copy"])
     kept = marked.join(F.broadcast(gone) if few else gone, on(gone), "left_anti")
     again = groups.where(own == F.col("_keeper")).groupBy(*pair).count().where("count > 1").drop("count")
     if again.isEmpty():
-        return kept.select(docs.columns)
-    once = kept.join(again, on(again), "left_semi").dropDuplicates(["doc_id", "_hash"])
-    return kept.join(again, on(again), "left_anti").unionByName(once).select(docs.columns)
+        return kept.select(row)
+    once = kept.join(again, on(again), "left_semi").dropDuplicates(["_of", "_hash"])
+    return kept.join(again, on(again), "left_anti").unionByName(once).select(row)
 
 
 def one_of_each_group(docs: DataFrame, width: int = 5, parts: int = 4, whole: int = 5) -> DataFrame:
