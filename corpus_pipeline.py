@@ -7,15 +7,16 @@ from pyspark.sql import functions as F
 
 from ledgerwell.llm import jaccard, mixing, packing, pii, toxicity
 from ledgerwell.llm.queries import TOKENIZER, toxic_model
-from ledgerwell.llm.shared import documents, prepared, stage
+from ledgerwell.llm.shared import documents, free_name, prepared, stage
 
 REJECTED_FROM = 0.7
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents below the toxicity score that rejects; the model learns from the labels of ``sf_dir``."""
-    scored = toxicity.score(docs, toxic_model(prepared(spark), sf_dir), keep=docs.columns)
-    return scored.where(F.col("_score") < REJECTED_FROM).select(docs.columns)
+    name = free_name("_score", docs.columns)
+    scored = toxicity.score(docs, toxic_model(prepared(spark), sf_dir), keep=docs.columns, name=name)
+    return scored.where(F.col(name) < REJECTED_FROM).select(docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,6 +28,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced by its kind; the stated length follows the new text."""
     redacted = pii.redact(docs)
+    if "n_chars" not in docs.columns:
+        return redacted
     return redacted.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars"))
 
 
