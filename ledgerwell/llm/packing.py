@@ -54,6 +54,7 @@ def encode_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, *,
                 arrays.append(pa.array(tokens, pa.list_(pa.int32())))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(arrays, names)
+        encoder.forget()
 
     chosen = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return chosen.mapInArrow(lean(run), _PIECES + (", ids array<int>" if ids else ""))

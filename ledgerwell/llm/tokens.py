@@ -15,7 +15,7 @@ import numpy as np
 PIECE_CHARS = 1 << 20
 GROUP_CHARS = 1 << 16
 # Chunks of one generation of the memo, and bytes of the chunks and ids learned in it.
-REMEMBERED = 250_000
+REMEMBERED = 120_000
 REMEMBERED_BYTES = 16 << 20
 # Longer chunks are forgotten once their texts are done: blobs seldom come again.
 LONGEST_REMEMBERED = 64
@@ -74,6 +74,10 @@ class ChunkEncoder:
         self.learned_bytes = 0
         self.passing: list[str] = []
 
+    def forget(self) -> None:
+        """Empty the memo; a worker that lives on for other work keeps the tokenizer alone."""
+        self.memo, self.learned_bytes, self.passing = _Memo({}), 0, []
+
     @staticmethod
     def of(path: str) -> ChunkEncoder:
         """One per worker process and file."""
