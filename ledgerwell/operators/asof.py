@@ -19,7 +19,7 @@ RATES_PER_SLICE = 4
 # More than the slices of a day with one rate every second.
 MAX_SLICES = 1 << 20
 
-_RATE_COLUMNS = {
+RATE_COLUMNS = {
     "rate_interval_id": "r_interval_id",
     "valid_from": "r_from",
     "valid_to": "r_to",
@@ -49,7 +49,7 @@ def sliced_intervals(intervals: DataFrame) -> DataFrame:
     from_micros = F.unix_micros("r_from")
     last_micros = F.unix_micros("r_to") - 1
     per_day = (
-        intervals.select(*[F.col(name).alias(short) for name, short in _RATE_COLUMNS.items()])
+        intervals.select(*[F.col(name).alias(short) for name, short in RATE_COLUMNS.items()])
         .withColumn(
             "r_day",
             F.explode(
