@@ -553,3 +553,18 @@ ORACLE = {
     ),
 }
 ORACLE["q35_latest_cancellations_kept"] = ORACLE["q07_latest_cancellation"]
+
+ORACLE |= {
+    "q36_asof_merge_scan": ORACLE["q06_asof_convert"],
+    "q37_batch_backfill": _with(
+        "tx",
+        f"""SELECT {_d('file_date')}, slot[1:1] || '0-00' AS slot, count(*) AS rows_written, count(*) AS stored_rows,
+        count_if(amount_raw = 'abc') AS malformed_lines FROM tx GROUP BY ALL""",
+    ),
+    "q38_quarantined_lines": _with(
+        "tx",
+        f"""SELECT 'transactions' AS source_name, {_d('file_date')}, slot[1:1] || '0-00' AS slot,
+        concat(chr(123), '"transaction_id": "', transaction_id_raw, '", "amount": abc') AS line
+        FROM tx WHERE amount_raw = 'abc'""",
+    ),
+}

@@ -10,14 +10,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import roles
-from ledgerwell.operators import asof, cancellations, cube, duplicates, facts, latest, lookups, rates, silver
+from ledgerwell.operators import asof, cancellations, cube, duplicates, facts, latest, lookups, merge_scan, rates, silver
 from ledgerwell.operators.dictionaries import typed_dictionary
 from ledgerwell.operators.hotkeys import hot_keys, with_scatter
-from ledgerwell.plans import calendar, jobs, rebuild
+from ledgerwell.plans import backfill, calendar, jobs, rebuild
 from ledgerwell.plans.audit import AUDIT_TABLE, LoadEvent, audited, table_counts
 from ledgerwell.schemas import TABLES, TRANSACTION_FLAGS
 from ledgerwell.session import configure, shared_folder, use_local_folder
-from ledgerwell.sources import jsonl
+from ledgerwell.sources import jsonl, quarantine
 from ledgerwell.sources.lake import Lake, write_json_lines
 from ledgerwell.streaming.ingest import ingest_transactions
 
@@ -591,3 +591,55 @@ def q35_latest_cancellations_kept(spark, sf_dir):
         lake.overwrite_values(jobs.CANCELLATIONS, rows, [day])
         latest.merge_latest(lake, [day])
     return shown(lake.read(latest.LATEST), *[c for c in ("original_transaction_id", *latest.KEPT_COLUMNS)])
+
+
+@query
+def q36_asof_merge_scan(spark, sf_dir):
+    """The rates of q06, found by the merge scan."""
+    priced = merge_scan.attach_rates_by_scan(
+        base_transactions(spark, sf_dir), stored_intervals(spark, sf_dir), rows_per_part=5_000
+    )
+    return shown(
+        facts.with_base_amount(facts.with_rate_state(priced)),
+        "transaction_id", "created_at", "currency", "amount", "amount_tgrk", "rate_interval_id", "rate_timestamp",
+        "rate_date", "rate_tgrk_punk", "rate_tgrk_rub", "is_rate_found", "is_rate_valid", "rate_selection_strategy",
+        "rate_time_diff_minutes",
+    )
+
+
+def _backfilled(spark: SparkSession, sf_dir: str) -> Lake:
+    """All events landed as files of slots, some lines cut short, and loaded from the list of missing slots:
+    one batch of the usual size, then all the rest."""
+    lake = scratch_lake(spark)
+    root = f"{lake.root}-raw"
+    cut = F.concat(F.lit('{"transaction_id": "'), F.col("transaction_id"), F.lit('", "amount": abc'))
+    whole = F.to_json(F.struct(*[F.col(name) for name in roles.TRANSACTION_TEXTS]))
+    lines = roles.transactions(spark, sf_dir).select(
+        F.when(F.col("amount") == "abc", cut).otherwise(whole).alias("value"),
+        F.col("file_date").alias("day"),
+        F.concat(F.substring("slot", 1, 1), F.lit("0-00")).alias("slot"),
+    )
+    lines.repartition("day", "slot", F.pmod(F.xxhash64("value"), F.lit(2))).write.partitionBy("day", "slot").text(f"{root}/transactions")
+    expected = lines.select("day", "slot").distinct()
+    backfill.catch_up(lake, root, expected, calendar.CATCH_UP_LIMIT, file_glob="*.txt")
+    backfill.load_slots(lake, root, backfill.missing_transactions(lake, expected, 1 << 20), file_glob="*.txt")
+    return lake
+
+
+@query
+def q37_batch_backfill(spark, sf_dir):
+    """Per slot: rows of its files by the audit table, rows stored, malformed lines kept aside."""
+    lake = _backfilled(spark, sf_dir)
+    slot = ["file_date", "slot"]
+    told = lake.read(AUDIT_TABLE).groupBy(slot).agg(F.sum("rows_written").alias("rows_written"))
+    stored = lake.read(jobs.TRANSACTIONS).groupBy(slot).agg(F.count(F.lit(1)).alias("stored_rows"))
+    aside = lake.read(quarantine.TABLE).groupBy(slot).agg(F.count(F.lit(1)).alias("malformed_lines"))
+    met = told.join(stored, slot, "full").join(aside, slot, "full").na.fill(0)
+    return met.withColumn("file_date", F.col("file_date").cast("string"))
+
+
+@query
+def q38_quarantined_lines(spark, sf_dir):
+    """The text of every malformed line, with its source, day and slot."""
+    lines = _backfilled(spark, sf_dir)
+    return shown(lines.read(quarantine.TABLE), "source_name", "file_date", "slot", "line")

@@ -17,8 +17,8 @@ from ledgerwell.operators.facts import enriched_fact
 from ledgerwell.operators.rates import rate_intervals
 from ledgerwell.operators.silver import clean_cancellations, clean_rates, clean_transactions
 from ledgerwell.plans.audit import LoadEvent, audited, new_run_id
-from ledgerwell.schemas import RAW_DICTIONARIES
-from ledgerwell.sources import jsonl
+from ledgerwell.schemas import RAW_CANCELLATIONS, RAW_DICTIONARIES, RAW_RATES, RAW_TRANSACTIONS
+from ledgerwell.sources import jsonl, quarantine
 from ledgerwell.sources.lake import Lake, in_days, write_json_lines
 
 TRANSACTIONS = "silver/transactions_clean"
@@ -55,10 +55,13 @@ def load_transactions(
     )
     with audited(lake, event):
         raw = jsonl.with_origin(
-            jsonl.read_transactions(lake.spark, path),
+            jsonl.read_transactions(lake.spark, path, keep_malformed=True),
             bucket=bucket, object_path=event.raw_object_path, file_date=day, slot=slot,
         )
-        rows = lake.overwrite_partition(TRANSACTIONS, clean_transactions(raw), {"file_date": day, "slot": slot})
+        watched, seen = quarantine.watched(raw)
+        rows = lake.overwrite_partition(TRANSACTIONS, clean_transactions(watched), {"file_date": day, "slot": slot})
+        lines = quarantine.malformed_lines(raw, "transactions", RAW_TRANSACTIONS.names, slot)
+        quarantine.replace(lake, lines, [quarantine.cell("transactions", day, slot)], seen.get["malformed"])
         event.rows_read = event.rows_written = rows
     return rows
 
@@ -86,10 +89,13 @@ def load_rates(
     )
     with audited(lake, event):
         raw = jsonl.with_origin(
-            jsonl.read_rates(lake.spark, path),
+            jsonl.read_rates(lake.spark, path, keep_malformed=True),
             bucket=bucket, object_path=event.raw_object_path, file_date=day,
         )
-        event.rows_read = event.rows_written = lake.overwrite_partition(RATES, clean_rates(raw), {"file_date": day})
+        watched, seen = quarantine.watched(raw)
+        event.rows_read = event.rows_written = lake.overwrite_partition(RATES, clean_rates(watched), {"file_date": day})
+        lines = quarantine.malformed_lines(raw, "exchange_rates", RAW_RATES.names)
+        quarantine.replace(lake, lines, [quarantine.cell("exchange_rates", day)], seen.get["malformed"])
     return event.rows_written
 
 
@@ -103,12 +109,15 @@ def load_cancellations(
     )
     with audited(lake, event):
         raw = jsonl.with_origin(
-            jsonl.read_cancellations(lake.spark, path),
+            jsonl.read_cancellations(lake.spark, path, keep_malformed=True),
             bucket=bucket, object_path=event.raw_object_path, file_date=day,
         )
+        watched, seen = quarantine.watched(raw)
         event.rows_read = event.rows_written = lake.overwrite_partition(
-            CANCELLATIONS, clean_cancellations(raw), {"file_date": day}
+            CANCELLATIONS, clean_cancellations(watched), {"file_date": day}
         )
+        lines = quarantine.malformed_lines(raw, "cancellations", RAW_CANCELLATIONS.names)
+        quarantine.replace(lake, lines, [quarantine.cell("cancellations", day)], seen.get["malformed"])
     return event.rows_written
 
 

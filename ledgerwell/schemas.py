@@ -186,6 +186,13 @@ TABLES = {
         "negative_amount_count BIGINT, zero_amount_count BIGINT, cancelled_transactions_count BIGINT",
         "event_date",
     ),
+    "quarantine/malformed_lines": _table(
+        "line STRING, fields_read BIGINT, source_file STRING, raw_bucket STRING, raw_object_path STRING, "
+        "loaded_at TIMESTAMP, source_name STRING, file_date DATE, slot STRING",
+        "source_name",
+        "file_date",
+        "slot",
+    ),
     "control/file_load_audit": _table(
         "run_id STRING, job_name STRING, source_name STRING, source_url STRING, raw_bucket STRING, "
         "raw_object_path STRING, target_table STRING, file_date DATE, slot STRING, status STRING, "

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgerwell.schemas import RAW_CANCELLATIONS, RAW_DICTIONARIES, RAW_RATES, RAW_TRANSACTIONS
 
@@ -14,9 +14,20 @@ from ledgerwell.schemas import RAW_CANCELLATIONS, RAW_DICTIONARIES, RAW_RATES, R
 TRANSACTIONS_FILE = "transactions/day={day}/slot={slot}/transactions.jsonl"
 RATES_FILE = "exchange_rates/day={day}/rates.jsonl"
 CANCELLATIONS_FILE = "cancellations/day={day}/cancellations.jsonl"
+# The name of the one file in a slot's folder.
+SLOT_FILE = "transactions.jsonl"
 DICTIONARY_FILE = "dictionaries/{name}.jsonl"
 
 
+# Holds the text of a line that is no JSON object, and NULL for all others.
+MALFORMED = "malformed_line"
+
+
+def with_malformed(schema: StructType) -> StructType:
+    """``schema`` and the column for malformed lines; the reader needs ``columnNameOfCorruptRecord`` for it."""
+    return StructType([*schema.fields, StructField(MALFORMED, StringType())])
+
+
 def transactions_path(root: str, day: str, slot: str) -> str:
     return f"{root}/{TRANSACTIONS_FILE.format(day=day, slot=slot)}"
 
@@ -33,22 +44,37 @@ def dictionary_path(root: str, name: str) -> str:
     return f"{root}/{DICTIONARY_FILE.format(name=name)}"
 
 
-def read_lines(spark: SparkSession, schema: StructType, paths: str | Sequence[str]) -> DataFrame:
-    """Declared columns plus ``source_file``, taken from the file each row came from."""
-    rows = spark.read.schema(schema).json(paths if isinstance(paths, str) else list(paths))
+def read_lines(spark: SparkSession, schema: StructType, paths: str | Sequence[str], *, keep_malformed: bool = False) -> DataFrame:
+    """Declared columns plus ``source_file``, taken from the file each row came from, and with
+    ``keep_malformed`` the text of malformed lines."""
+    schema = with_malformed(schema) if keep_malformed else schema
+    reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", MALFORMED)
+    rows = reader.json(paths if isinstance(paths, str) else list(paths))
     return rows.select(*schema.names, F.col("_metadata.file_path").alias("source_file"))
 
 
-def read_transactions(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    return read_lines(spark, RAW_TRANSACTIONS, paths)
+def read_transactions(spark: SparkSession, paths: str | Sequence[str], **options: bool) -> DataFrame:
+    return read_lines(spark, RAW_TRANSACTIONS, paths, **options)
+
+
+def read_rates(spark: SparkSession, paths: str | Sequence[str], **options: bool) -> DataFrame:
+    return read_lines(spark, RAW_RATES, paths, **options)
 
 
-def read_rates(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    return read_lines(spark, RAW_RATES, paths)
+def read_cancellations(spark: SparkSession, paths: str | Sequence[str], **options: bool) -> DataFrame:
+    return read_lines(spark, RAW_CANCELLATIONS, paths, **options)
 
 
-def read_cancellations(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    return read_lines(spark, RAW_CANCELLATIONS, paths)
+def with_slot(lines: DataFrame, fields: Sequence[str], bucket: str) -> DataFrame:
+    """``fields`` of scanned transaction files with their origin; day and slot are taken from the folders."""
+    found = lines.select(*fields, F.col("_metadata.file_path").alias("source_file"))
+    return with_origin(
+        found,
+        bucket=bucket,
+        object_path=F.regexp_extract("source_file", "transactions/day=.*$", 0),
+        file_date=F.regexp_extract("source_file", "/day=([^/]+)/", 1),
+        slot=F.regexp_extract("source_file", "/slot=([^/]+)/", 1),
+    )
 
 
 def read_dictionary(spark: SparkSession, name: str, path: str) -> DataFrame:

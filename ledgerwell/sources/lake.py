@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from datetime import date
+from fnmatch import fnmatch
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -121,6 +122,24 @@ class Lake:
         self._remove([self._partition_path(name, {column: value}) for value in stale])
         return seen.get["rows"]
 
+    def overwrite_cells(self, name: str, df: DataFrame, cells: Sequence[Mapping[str, str]]) -> int:
+        """Replace exactly the partitions ``cells``, each a value per partition column; those without rows
+        in ``df`` end up empty. ``df`` has rows of these alone, and is written where it is."""
+        paths = [self._partition_path(name, keys) for keys in cells]
+        before = {path: set(self._children(path)) for path in paths}
+        counted, seen = self._counted(self._conformed(name, df))
+        self._overwrite_present(name, counted)
+        self._remove([path for path in paths if before[path] & set(self._children(path))])
+        return seen.get["rows"]
+
+    def holds(self, name: str, keys: Mapping[str, str]) -> bool:
+        """Whether the partition ``keys`` has been written; its files are not read."""
+        return bool(self._children(self._partition_path(name, keys)))
+
+    def sizes(self, folder: str, glob: str) -> dict[str, int]:
+        """Names and bytes of the files directly in a folder that fit ``glob``; none if there is no folder."""
+        return {f.getPath().getName(): f.getLen() for f in self._status(folder) if f.isFile() and fnmatch(f.getPath().getName(), glob)}
+
     def partition_values(self, name: str) -> list[str]:
         """The values of the one partition column that have a folder; their files are not listed."""
         mark = f"{TABLES[name].partitioned_by[0]}="
@@ -132,9 +151,12 @@ class Lake:
         return {value: set(self._children(self._partition_path(name, {column: value}))) for value in values}
 
     def _children(self, path: str) -> list[str]:
+        return [f.getPath().getName() for f in self._status(path)]
+
+    def _status(self, path: str) -> list:
         folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         system = folder.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
-        return [f.getPath().getName() for f in system.listStatus(folder)] if system.exists(folder) else []
+        return list(system.listStatus(folder)) if system.exists(folder) else []
 
     def _remove(self, paths: list[str]) -> None:
         """Remove partition folders; a matter of the file system, without a Spark job."""

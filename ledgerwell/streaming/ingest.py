@@ -14,11 +14,10 @@ from ledgerwell.plans.audit import AUDIT_TABLE, LoadEvent, write_failure
 from ledgerwell.plans.jobs import TRANSACTIONS
 from ledgerwell.schemas import RAW_TRANSACTIONS
 from ledgerwell.sources import jsonl
+from ledgerwell.sources.jsonl import SLOT_FILE
 from ledgerwell.sources.lake import Lake
 
 JOB_NAME = "stream_transactions"
-# Fixed value: the name of the one file in a slot's folder.
-SLOT_FILE = "transactions.jsonl"
 
 
 def transaction_stream(
@@ -32,19 +31,7 @@ def transaction_stream(
         .option("recursiveFileLookup", "true")
         .json(f"{raw_root}/transactions")
     )
-    return _with_slot(lines, bucket)
-
-
-def _with_slot(lines: DataFrame, bucket: str) -> DataFrame:
-    file = F.col("_metadata.file_path")
-    found = lines.select(*RAW_TRANSACTIONS.names, file.alias("source_file"))
-    return jsonl.with_origin(
-        found,
-        bucket=bucket,
-        object_path=F.regexp_extract("source_file", "transactions/day=.*$", 0),
-        file_date=F.regexp_extract("source_file", "/day=([^/]+)/", 1),
-        slot=F.regexp_extract("source_file", "/slot=([^/]+)/", 1),
-    )
+    return jsonl.with_slot(lines, RAW_TRANSACTIONS.names, bucket)
 
 
 def ingest_transactions(
@@ -95,7 +82,7 @@ def ingest_transactions(
             .option("recursiveFileLookup", "true")
             .json(folders)
         )
-        lake.overwrite_partitions(TRANSACTIONS, clean_transactions(_with_slot(lines, bucket)))
+        lake.overwrite_partitions(TRANSACTIONS, clean_transactions(jsonl.with_slot(lines, RAW_TRANSACTIONS.names, bucket)))
         counts = (
             lake.read(TRANSACTIONS)
             .join(F.broadcast(files.select(*keys)), keys, "left_semi")
