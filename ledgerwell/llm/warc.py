@@ -9,22 +9,27 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerwell.llm.shared import scratch_path, stage
 
 CRLF = "\r\n"
 LEAST_BYTES = 1000
+# An archive holds at most so many records, and bytes unless it is a single record.
 ROWS_PER_FILE = 4000
+FILE_BYTES = 64 << 20
+# Pages up to these many bytes share archives.
+SIZE_CLASSES = (1 << 14, 1 << 17, 1 << 20, 1 << 23)
 # So many revisits are broadcast; more are joined by shuffle.
 BROADCAST_ROWS = 500_000
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
-def records(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
-    """One WARC record per page as text without its final two line ends: column ``value``.
+def records(pages: DataFrame, least_bytes: int = LEAST_BYTES, carried: Column | None = None) -> DataFrame:
+    """One WARC record per page as text without its final two line ends: column ``value``, and what of the
+    page is ``carried`` along under that name.
 
     Reads page_id, url and html. A null html is an empty payload; a null url has no header. Of pages
     with equal payloads of at least ``least_bytes``, the one with the largest page_id is the response
@@ -32,7 +37,7 @@ def records(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
     The copies are found from narrow (id, digest) rows; a page of its own needs no look-up.
     """
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
-    chosen = pages.select(F.col("page_id").cast("long"), F.regexp_replace(F.coalesce(F.col("url").cast("string"), F.lit("")), "[\\r\\n]+", " ").alias("url"), html.alias("html"))
+    chosen = pages.select(F.col("page_id").cast("long"), F.regexp_replace(F.coalesce(F.col("url").cast("string"), F.lit("")), "[\\r\\n]+", " ").alias("url"), html.alias("html"), (F.lit(None) if carried is None else carried).alias("carried"))
     digest = F.sha1(F.encode("html", "UTF-8"))
     narrow = chosen.where((F.octet_length("html") >= least_bytes) & F.col("page_id").isNotNull()).select("page_id", digest.alias("digest"))
     groups = narrow.groupBy("digest").agg(F.max("page_id").alias("keeper"), F.count("*").alias("n")).where("n > 1")
@@ -60,12 +65,25 @@ def records(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
         line("Content-Length", F.octet_length(block).cast("string")),
         F.lit(CRLF),
     )
-    return met.select(F.concat(head, block).alias("value"))
+    return met.select(F.concat(head, block).alias("value"), *([] if carried is None else ["carried"]))
 
 
-def write_archives(pages: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
-    """Archives below ``path``; a record ends in two line ends, which Spark writes as line separators."""
-    records(pages).write.option("lineSep", CRLF * 2).option("maxRecordsPerFile", rows_per_file).text(path)
+def write_archives(pages: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE, file_bytes: int = FILE_BYTES) -> None:
+    """Archives below ``path``; a record ends in two line ends, which Spark writes as line separators.
+
+    Pages are written by classes of size, each with as many records to an archive as keep it within
+    ``file_bytes``, headers apart; pages beyond the last class get an archive each. Only classes that
+    occur cost a pass. Without pages the folder is made and stays empty.
+    """
+    size = F.coalesce(F.octet_length(F.col("html").cast("string")), F.lit(0)) + F.coalesce(F.octet_length(F.col("url").cast("string")), F.lit(0))
+    bounds = F.array(*[F.lit(b) for b in SIZE_CLASSES])
+    size_class = F.size(F.filter(bounds, lambda b: b < size))
+    found = sorted(r["c"] for r in pages.select(size_class.alias("c")).distinct().collect())
+    made = records(pages, carried=size_class)
+    for nth, c in enumerate(found or [0]):
+        rows = min(rows_per_file, max(1, file_bytes // SIZE_CLASSES[c])) if c < len(SIZE_CLASSES) else 1
+        some = made.where(F.col("carried") == c).select("value")
+        some.write.mode("append" if nth else "errorifexists").option("lineSep", CRLF * 2).option("maxRecordsPerFile", rows).text(path)
 
 
 _VERSION = re.compile(rb"WARC/1\.[01]\r\n")
