@@ -6,6 +6,8 @@ doubling twice more, hashes of 8-word windows. Only bucket counts are shuffled.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,8 @@ BUCKETS = 1 << 16
 PRIOR = 0.25
 # The threshold lets this share of trusted documents fall below it.
 TRUSTED_BELOW = 0.002
+# Bins of one pass of the search for the threshold.
+BINS = 4096
 LEAST_WORDS = 20
 REPEATED_PERCENT = 30
 WINDOW = 8
@@ -109,6 +113,27 @@ def quality_features(docs: DataFrame, weights: DataFrame) -> DataFrame:
     )
 
 
+def quantile(scores: DataFrame, part: float) -> float | None:
+    """The ceil(n * part)-th smallest of the n values in ``score``, exactly; None without values.
+
+    Values are counted in ``BINS`` equal bins, and again within the bin that holds the one sought, until
+    that bin is a single value. Each pass collects one row per bin. Missing values do not count.
+    """
+    scores = scores.where("score is not null")
+    row = scores.agg(F.count("*").alias("n"), F.min("score").alias("lo"), F.max("score").alias("hi")).first()
+    nth, lo, hi = max(1, math.ceil(row["n"] * part)), row["lo"], row["hi"]
+    while lo is not None and lo < hi:
+        within = scores.where(F.col("score").between(lo, hi))
+        nth_bin = F.floor((F.col("score") - lo) / F.lit(hi - lo) * BINS)
+        bins = within.groupBy(nth_bin.alias("bin")).agg(F.count("*").alias("n"), F.min("score").alias("lo"), F.max("score").alias("hi"))
+        for row in sorted(bins.collect(), key=lambda r: r["bin"]):
+            if nth <= row["n"]:
+                break
+            nth -= row["n"]
+        lo, hi = row["lo"], row["hi"]
+    return lo
+
+
 def judge(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     """Features of every row with base_failed, threshold and kept.
 
@@ -116,7 +141,8 @@ def judge(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     windows. Of the others, those are kept whose score reaches the threshold. Half of the trusted
     documents, told by a hash of the id, are the target; the threshold is the ``TRUSTED_BELOW`` quantile
     of the scores of the other half that pass the base rules, so it is not raised by texts that the
-    target has seen. Without any all are kept. The same corpus always gives the same threshold.
+    target has seen: of n scores the ceil(n * quantile)-th smallest, found exactly, so that the same corpus
+    always gives the same threshold. A score equal to it is kept. Without any all are kept.
     """
     target = F.pmod(crc32_of_id(), F.lit(2)) == 0
     scored = stage(quality_features(docs, ratio_weights(docs, trusted.where(target))), "quality")
@@ -124,6 +150,5 @@ def judge(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     scored = scored.withColumn("base_failed", failed)
     ids = trusted.where(~target).select("doc_id").distinct()
     known = scored.where(~failed).join(ids, "doc_id", "left_semi")
-    least = known.agg(F.percentile_approx("score", TRUSTED_BELOW, 100_000)).first()[0]
-    limit = F.lit(least).cast("double")
+    limit = F.lit(quantile(stage(known.select("score"), "trusted-scores"), TRUSTED_BELOW)).cast("double")
     return scored.withColumn("threshold", limit).withColumn("kept", ~failed & (F.coalesce(F.col("score") >= limit, F.lit(True))))
