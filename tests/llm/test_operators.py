@@ -2,6 +2,7 @@
 
 import gzip
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -391,6 +392,19 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc.round_trip(pages.limit(0), str(tmp_path / "none")).count() == 0
 
 
+def test_archives_are_bounded_by_bytes(spark, tmp_path):
+    sizes = [10, 20_000, 90_000, 200_000, 300_000, 9_000_000, 0, 40_000]
+    rows = [(i, f"http://x/{i}", f"<{i}>" + "a\r\n\r\n" * (n // 5)) for i, n in enumerate(sizes)]
+    pages = spark.createDataFrame([*rows, (None, None, None)], "page_id long, url string, html string").coalesce(1)
+    warc.write_archives(pages, str(tmp_path / "w"), file_bytes=1 << 20)
+    files = [f.stat().st_size for f in (tmp_path / "w").glob("part-*")]
+    assert sorted(n > (1 << 20) + 8 * 1000 for n in files) == [False] * (len(files) - 1) + [True]
+    got = warc.read_archives(spark, str(tmp_path / "w")).collect()
+    assert all(r["problem"] is None for r in got)
+    read = {warc_id(r): bytes(r["payload"]).decode() for r in got}
+    assert read == {i: html for i, _, html in rows} | {None: ""}
+
+
 def warc_id(row):
     m = re.match(r"<urn:page:(\d+)>", row["record_id"] or "")
     return int(m[1]) if m else None
@@ -444,6 +458,16 @@ def test_salvage_keeps_what_passes_inside_a_member(level):
     assert [p for _, _, r, p in warc.salvage(bytes(broken) + last) if not r] == ["broken member"]
 
 
+@pytest.mark.parametrize("part", [0.002, 0.3, 1.0])
+def test_threshold_is_the_exact_quantile(spark, part):
+    rng = np.random.default_rng(5)
+    for values in ([], [0.25], [1.5] * 40, [*rng.normal(size=3000).tolist(), *[-0.5] * 900, 1e-300, 1e9, -1e-300, None]):
+        known = sorted(v for v in values if v is not None)
+        wanted = known[max(1, math.ceil(len(known) * part)) - 1] if known else None
+        frame = spark.createDataFrame([(v,) for v in values], "score double")
+        assert quality.quantile(frame, part) == quality.quantile(frame.repartition(7), part) == wanted
+
+
 def test_quality_counts_and_verdicts(spark, empty):
     prepared(spark)
     rows = [(i, sentence(i, 80)) for i in range(60)] + [(i, " ".join(f"junk{i}x{j}" for j in range(80))) for i in range(60, 80)]
