@@ -7,22 +7,23 @@ chunk met before costs one look-up; new chunks are encoded many at a time.
 from __future__ import annotations
 
 import os
-from collections import deque
+import re
 from collections.abc import Iterable, Iterator
+from itertools import chain, filterfalse
 
 import numpy as np
 
 PIECE_CHARS = 1 << 20
 GROUP_CHARS = 1 << 16
 # Chunks of one generation of the memo, and bytes of the chunks and ids learned in it.
-REMEMBERED = 120_000
+REMEMBERED = 250_000
 REMEMBERED_BYTES = 16 << 20
 # Longer chunks are forgotten once their texts are done: blobs seldom come again.
 LONGEST_REMEMBERED = 64
 WORDS_AT_ONCE = 2000
-_TAIL = ",.;:!?"
-# Below this all letters have one lower-case letter each and no other composed form.
-_LATIN_END = "\u0130"
+# Below U+0130 all letters have one lower-case letter each and no other composed form.
+_LETTERS = "".join(filter(str.isalpha, map(chr, range(0x130))))
+_PLAIN = re.compile(f"([{_LETTERS}]+)([,.;:!?]*)")
 _loaded: dict[str, ChunkEncoder] = {}
 
 
@@ -39,21 +40,18 @@ def pieces_of(text: str) -> Iterator[str]:
 
 
 class _Memo(dict):
-    """Ids by chunk, in two generations: what is still in use moves on from the older one. A chunk in
-    neither is noted, and has no ids for now."""
+    """Ids by chunk, in two generations: what is still in use moves on from the older one."""
 
     def __init__(self, older: dict[str, bytes]):
         super().__init__({"": b""})
         self.older = older
-        self.missed: set[str] = set()
 
-    def __missing__(self, chunk: str) -> bytes:
-        ids = self.older.get(chunk)
-        if ids is None:
-            self.missed.add(chunk)
-            return b""
-        self[chunk] = ids
-        return ids
+    def unknown(self, chunks: set[str]) -> set[str]:
+        """The chunks that neither generation holds; the others are in the younger one afterwards."""
+        missed = set(filterfalse(self.__contains__, chunks))
+        again = list(filter(self.older.__contains__, missed))
+        self.update(zip(again, map(self.older.__getitem__, again)))
+        return missed.difference(again)
 
 
 class ChunkEncoder:
@@ -113,33 +111,21 @@ class ChunkEncoder:
             self.memo.older = {}
             self.memo = _Memo(self.memo)
             self.learned_bytes = 0
-        memo = self.memo
-        for pieces in held:
-            for chunks in pieces:
-                deque(map(memo.__getitem__, chunks), maxlen=0)
-        if memo.missed:
-            missed, memo.missed = memo.missed, set()
+        missed = self.memo.unknown(set().union(*chain.from_iterable(held)))
+        if missed:
             self._learn(missed)
 
     def _learn(self, chunks: set[str]) -> None:
         """A plain word with final punctuation is its word's ids and its punctuation's."""
-        memo, parts, words, whole = self.memo, [], set(), set()
-        for chunk in chunks:
-            core = chunk.rstrip(_TAIL)
-            if core.isalpha() and (core.isascii() or max(core) < _LATIN_END):
-                low = core.lower()
-                tail = chunk[len(core) :]
-                parts.append((chunk, low, tail))
-                if low not in memo and low not in memo.older:
-                    words.add(low)
-                if tail not in memo and tail not in memo.older:
-                    whole.add(tail)
-            else:
-                whole.add(chunk)
+        memo = self.memo
+        plain = [found for found in map(_PLAIN.fullmatch, chunks) if found]
+        parts = [(found[0], found[1].lower(), found[2]) for found in plain]
+        whole = chunks.difference([chunk for chunk, _, _ in parts])
+        whole |= memo.unknown({tail for _, _, tail in parts})
+        words = memo.unknown({low for _, low, _ in parts})
         self._words(list(words))
         self._whole(list(whole))
-        for chunk, low, tail in parts:
-            memo[chunk] = memo[low] + memo[tail] if tail else memo[low]
+        memo.update([(chunk, memo[low] + memo[tail]) for chunk, low, tail in parts])
         self.passing = [c for c in (*chunks, *words, *whole) if len(c) > LONGEST_REMEMBERED]
         self.learned_bytes += sum(map(len, chunks)) + sum(map(len, map(memo.__getitem__, chunks)))
 

@@ -129,3 +129,15 @@ def test_encoder_remembers_within_bounds(monkeypatch):
     last = {c for c in encoder.memo if len(c) > tokens.LONGEST_REMEMBERED}
     assert len(last) <= 3 and not any(len(c) > tokens.LONGEST_REMEMBERED for c in encoder.memo.older)
     assert len(encoder.memo) + len(encoder.memo.older) < len(set(words))
+
+
+def test_encoder_learns_a_wide_vocabulary_once(monkeypatch):
+    from ledgerwell.llm.queries import TOKENIZER
+
+    encoder = tokens.ChunkEncoder(str(TOKENIZER))
+    texts = [" ".join(f"{i}x" for i in range(at, at + 1000)) for at in range(0, 200_000, 1000)]
+    first = list(encoder.encode(texts))
+    learned = []
+    learn = encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda chunks: (learned.append(len(chunks)), learn(chunks)))
+    assert list(encoder.encode(texts)) == first and not learned
