@@ -533,13 +533,13 @@ def _lake_before_late_cancellations(spark: SparkSession, sf_dir: str) -> Lake:
         missing = {f.name: F.lit(None).cast(f.dataType) for f in columns if f.name not in known.columns}
         lake.replace(f"dictionaries/{name}", known.withColumns(missing) if missing else known)
     both = _cancellations_in_two_loads(spark, sf_dir)
-    lake.replace(jobs.CANCELLATIONS, both.where(F.col("file_date") == F.lit(FIRST_LOAD)))
+    lake.overwrite_values(jobs.CANCELLATIONS, both, [FIRST_LOAD])
     lake.ensure(latest.LATEST)
     latest.merge_latest(lake, [FIRST_LOAD])
     lake.replace(latest.PENDING, spark.createDataFrame([], TABLES[latest.PENDING].schema))
     jobs.build_fact(lake, START, END)
     jobs.export_cube(lake, START, END)
-    lake.overwrite_partitions(jobs.CANCELLATIONS, both.where(F.col("file_date") == F.lit(LATE_LOAD)))
+    lake.overwrite_values(jobs.CANCELLATIONS, both, [LATE_LOAD])
     return lake
 
 

@@ -107,15 +107,23 @@ class Lake:
 
     def overwrite_values(self, name: str, df: DataFrame, values: Iterable) -> int:
         """Replace exactly the partitions ``values`` of a table partitioned by one column, wherever they
-        lie; those without rows in ``df`` end up empty, and no other partition is looked at."""
+        lie; those without rows in ``df`` end up empty, and no other partition is looked at.
+
+        Rows of a single value are written where they are: there is nothing to bring together, and a
+        partition column that is a constant asks for no sort either.
+        """
         values = list(values)
         column = TABLES[name].partitioned_by[0]
-        return self._overwrite_only(name, df.where(F.col(column).isin(values)), lambda: [str(v) for v in values])
+        rows, alone = df.where(F.col(column).isin(values)), len(set(values)) == 1
+        if alone:
+            rows = rows.withColumn(column, F.lit(values[0]))
+        return self._overwrite_only(name, rows, lambda: [str(v) for v in values], clustered=not alone)
 
-    def _overwrite_only(self, name: str, df: DataFrame, concerned: Callable[[], list[str]]) -> int:
+    def _overwrite_only(self, name: str, df: DataFrame, concerned: Callable[[], list[str]], clustered: bool = True) -> int:
         column = TABLES[name].partitioned_by[0]
         before = self.files_of(name, concerned())
-        counted, seen = self._counted(self._clustered(name, self._conformed(name, df)))
+        rows = self._conformed(name, df)
+        counted, seen = self._counted(self._clustered(name, rows) if clustered else rows)
         self._overwrite_present(name, counted)
         after = self.files_of(name, before)
         stale = sorted(value for value in before if before[value] & after[value])

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerwell.operators.cube import hourly_cube
 from ledgerwell.operators.latest import LATEST, PENDING, merge_latest
 from ledgerwell.plans import jobs, rebuild
+from ledgerwell.schemas import TABLES
 from tests import fixtures
 
 OLD, NEXT, RECENT = date(2026, 4, 27), date(2026, 4, 28), date(2026, 6, 2)
@@ -138,3 +139,14 @@ def test_windows_that_overlap(built):
     assert stored == {(OLD, OLD, NEXT), (NEXT, NEXT, RECENT), (RECENT, NEXT, RECENT)}
     counts = {(r[0], r[1]) for r in lake.read(jobs.FACT).where("transaction_id = 2").select("file_date", "duplicate_count").collect()}
     assert counts == {(OLD, 3), (NEXT, 1)}
+
+
+def test_one_partition_is_written_without_a_shuffle(spark, lake):
+    day = date(2024, 1, 5)
+    rows = spark.range(0, 400, 1, 4).selectExpr("id AS original_transaction_id", f"DATE'{day}' AS file_date")
+    kept = {f.name: F.lit(None).cast(f.dataType) for f in TABLES[jobs.CANCELLATIONS].schema.fields if f.name not in rows.columns}
+    assert lake.overwrite_values(jobs.CANCELLATIONS, rows.withColumns(kept), [day]) == 400
+    assert len([f for f in lake.files_of(jobs.CANCELLATIONS, [str(day)])[str(day)] if f.endswith(".parquet")]) == 4
+    assert lake.read(jobs.CANCELLATIONS).where(F.col("file_date") == F.lit(day)).count() == 400
+    assert lake.overwrite_values(jobs.CANCELLATIONS, rows.withColumns(kept).where("false"), [day]) == 0
+    assert lake.read(jobs.CANCELLATIONS).isEmpty()
