@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import deque
 from collections.abc import Iterator, Sequence
 
 import ahocorasick
@@ -157,6 +158,7 @@ def evidence(text: str | None, machine: ahocorasick.Automaton | None) -> tuple[f
     best: dict[int, float] = {}
     spared: set[int] = set()
     search = machine.iter(" ")
+    deque(search, maxlen=0)  # the blank before the first word: a new block would replace it unread
     for block in (*_blocks(text), None):
         folded = " " if block is None else fold(block)
         words += len(folded.split())

@@ -141,3 +141,9 @@ def test_encoder_learns_a_wide_vocabulary_once(monkeypatch):
     learn = encoder._learn
     monkeypatch.setattr(encoder, "_learn", lambda chunks: (learned.append(len(chunks)), learn(chunks)))
     assert list(encoder.encode(texts)) == first and not learned
+
+
+def test_the_first_word_of_a_text_counts():
+    machine = toxicity.automaton([("trash ", 5.0)])
+    found = {text: toxicity.evidence(text, machine) for text in ("trash", "trash trash x", "trash can trash", "a trash")}
+    assert found == {"trash": (5.0, 1), "trash trash x": (10.0, 3), "trash can trash": (5.0, 3), "a trash": (5.0, 2)}
