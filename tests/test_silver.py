@@ -4,7 +4,9 @@ from datetime import datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
+from ledgerwell.functions import text
 from ledgerwell.operators import silver
 from ledgerwell.schemas import RAW_CANCELLATIONS, RAW_RATES, RAW_TRANSACTIONS
 from ledgerwell.sources import jsonl
@@ -143,3 +145,28 @@ def test_no_python_in_the_plan(spark, clean):
     }[clean]
     plan = clean(spark.createDataFrame([], schema))._jdf.queryExecution().executedPlan().toString()
     assert "EvalPython" not in plan
+
+
+def test_guards_before_casts_change_no_value(spark):
+    """Texts no cast reads are NULL without a try, which would raise inside the engine; what is left is as before."""
+    texts = [
+        None, "", "1", "-7", "+7", " 8 ", "\t9\n", "12.5", "1e3", "x1", "#", "c1", "1_0", "99999999999999999999", "--1", "１２",
+        "1,5", "1.5", "-0,005", "1.234,50", "1,234.50", ".5", "5.", "1e2", "2e-1", "1d", "1f", "nan", "inf", "99999999999999999", "1 2",
+        "2024 Jan 05 01:30", " 2024 Feb 29 23:59 ", "2023 Feb 29 01:30", "2024 jan 05 01:30", "2024 JAN 05 01:30",
+        "2024 Jan 5 01:30", "2024 Jan 05 24:00", "2024 Jan 05 01:60", "0000 Jan 05 01:30", "0001 Jan 01 00:00",
+        "12024 Jan 05 01:30", "+12024 Jan 05 01:30", "2024 Foo 05 01:30", "2024 anF 05 01:30", "2024 Jan 05 01:30:00",
+        "2024 Jan 05 01:30\n", "2024-01-05 01:30", "2024 Sept 05 01:30", "9999 Dec 31 23:59", "none",
+    ]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    t = F.col("t")
+    found = rows.select(
+        text.parse_long(t).alias("long"), t.try_cast("bigint").alias("long_before"),
+        text.parse_money(t).alias("money"), F.translate(t, ",", ".").try_cast("decimal(18,2)").alias("money_before"),
+        text.parse_cancelled_at(t).cast("string").alias("at"),
+        F.try_to_timestamp(F.trim(t), F.lit(text.CANCELLED_AT_FORMAT)).cast("string").alias("at_before"),
+        "t",
+    ).collect()
+    assert [r for r in found if (r["long"], r["money"], r["at"]) != (r["long_before"], r["money_before"], r["at_before"])] == []
+    assert sum(r["at"] is not None for r in found) >= 6 and sum(r["long"] is not None for r in found) >= 5
+    guarded = rows.select(text.parse_long(t), text.parse_money(t))._jdf.queryExecution().optimizedPlan().toString()
+    assert guarded.count("CASE WHEN NOT RLIKE") == 2
