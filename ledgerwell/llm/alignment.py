@@ -178,9 +178,9 @@ class Aligner:
         """Aligns the chunks, one after another as one text; those that B does not give back hold nothing."""
         by_chunk = list(self.b.encode(chunks))
         n_b = np.array([len(x) for x in by_chunk], np.int64)
-        raw_a = [raw if n else b"" for raw, n in zip(self.a.encode(" " + c for c in chunks), n_b.tolist(), strict=True)]
-        n_a = np.array([len(x) // 4 for x in raw_a], np.int64)
-        ids_a = np.frombuffer(b"".join(raw_a), "<u4").astype(np.int64)
+        ids_a, n_a = self._encode_a(chunks)
+        if not n_b.all():
+            ids_a, n_a = ids_a[np.repeat(n_b > 0, n_a)], np.where(n_b > 0, n_a, 0)
         ids_b = np.fromiter(chain.from_iterable(by_chunk), np.int64, int(n_b.sum()))
         sizes_a, sizes_b = self.a.sizes[ids_a], self.b.sizes[ids_b]
         ends_a, ends_b = groups(sizes_a, sizes_b)
@@ -199,6 +199,26 @@ class Aligner:
             yield text[text_at : max(text_to - 1, text_at)], keys[key_at:key_to], sizes[12 * i : 12 * i + 12]
             text_at, key_at = text_to, key_to
 
+    def _encode_a(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """A's ids of each blank + chunk, joined, and how many they are.
+
+        A run of chunks that neither start nor end with white space is encoded as one text: words do not
+        cross from one to the next there, so it is cut again where the chunks' bytes end.
+        """
+        runs: list[list[str]] = []
+        alone = True
+        for chunk in chunks:
+            cut_alone = not chunk or chunk[0].isspace() or chunk[-1].isspace()
+            if alone or cut_alone:
+                runs.append([])
+            runs[-1].append(chunk)
+            alone = cut_alone
+        texts = [" " + " ".join(run) for run in runs]
+        ids = np.frombuffer(b"".join(self.a.encode(texts)), "<u4").astype(np.int64)
+        token_ends = np.cumsum(self.a.sizes[ids])
+        chunk_ends = np.cumsum(np.fromiter((1 + len(c.encode()) for c in chunks), np.int64, len(chunks)))
+        return ids, np.diff(np.searchsorted(token_ends, chunk_ends, "right"), prepend=0)
+
     def written(self, ids_a: np.ndarray, ids_b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> np.ndarray:
         """Groups as ``a1,a2|b1;a3|b2,b3;``: the places in ``parts`` of what to write."""
         # Tokens of A move behind the B tokens of earlier groups, and those of B behind their own group's A.

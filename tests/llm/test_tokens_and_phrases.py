@@ -202,3 +202,20 @@ def test_collocations_with_shared_hashes_and_no_rows(spark, monkeypatch):
     monkeypatch.undo()
     assert collocations.collocations(docs.limit(0)).collect() == []
     assert collocations.collocations(table(spark, [None, "", "rare words"])).collect() == []
+
+
+def test_runs_of_chunks_are_encoded_as_one_text(monkeypatch):
+    aligner = alignment.Aligner(BYTE_BPE, PIECE_BPE)
+    rng = random.Random(7)
+    odd = ["", " ", "   ", "a", "don't", "'s", "x ", " y", "a b", "\n", "b\n", "\nc", "a\nb", "\tq", "12", "é", "日本", "!?", "<|endoftext|>", "  d", "e  ", "\x1cz", "z\x1d"]
+    for n in (0, 1, 2, 50, 400):
+        chunks = [rng.choice(odd) + rng.choice(["", "", "w", "7", "."]) for _ in range(n)]
+        alone = list(aligner.a.encode(" " + c for c in chunks))
+        ids, sizes = aligner._encode_a(chunks)
+        assert sizes.tolist() == [len(raw) // 4 for raw in alone]
+        assert ids.astype("<u4").tobytes() == b"".join(alone)
+    given = []
+    encode = aligner.a.encode
+    monkeypatch.setattr(aligner.a, "encode", lambda texts: (given.append(kept := list(texts)), encode(kept))[1])
+    list(aligner.align([" ".join(f"word{i}" for i in range(500))]))
+    assert [len(texts) for texts in given] == [1]
